@@ -1,0 +1,7 @@
+"""Streaming.
+
+Every source of this domain is a closed file and every model a full
+rebuild: there is no watermark, window, state or late-data rule to
+reproduce, so nothing here is streamed. Incremental refresh is a matter of
+re-running the batch plan over new source files.
+"""
