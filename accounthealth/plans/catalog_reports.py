@@ -22,8 +22,8 @@ def rpt_kpis(wh):
 
 
 @register("rpt_top_risk", """
-SELECT row_number() OVER (ORDER BY c.churn_risk_score DESC, h.recognized_revenue DESC,
-                                   h.account_id) AS rank,
+SELECT CAST(row_number() OVER (ORDER BY c.churn_risk_score DESC, h.recognized_revenue DESC,
+                                   h.account_id) AS INTEGER) AS rank,
        h.account_id, h.account_name, h.segment, c.churn_risk_score, h.health_score,
        h.support_tickets, h.failed_invoice_amount
 FROM mart_customer_health h
@@ -41,8 +41,8 @@ SELECT segment, coalesce(plan, 'none') AS plan, accounts, recognized_revenue,
        {sql_money_text('recognized_revenue')} AS revenue_text,
        CASE WHEN gross_revenue_retention IS NULL THEN 'n/a'
             ELSE {sql_percent_text('gross_revenue_retention')} END AS grr_text,
-       row_number() OVER (ORDER BY recognized_revenue DESC, segment NULLS LAST,
-                                   plan NULLS LAST) AS rank
+       CAST(row_number() OVER (ORDER BY recognized_revenue DESC, segment NULLS LAST,
+                                   plan NULLS LAST) AS INTEGER) AS rank
 FROM mart_revenue_retention
 """)
 def rpt_retention(wh):
@@ -85,8 +85,8 @@ def rpt_retention_series(wh):
 
 
 @register("rpt_adoption_top", """
-SELECT row_number() OVER (ORDER BY adoption_rate DESC NULLS LAST, segment NULLS LAST,
-                                   event_name NULLS LAST) AS rank,
+SELECT CAST(row_number() OVER (ORDER BY adoption_rate DESC NULLS LAST, segment NULLS LAST,
+                                   event_name NULLS LAST) AS INTEGER) AS rank,
        segment, event_name, events, adopting_accounts, adoption_rate
 FROM mart_product_adoption
 ORDER BY rank
