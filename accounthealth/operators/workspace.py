@@ -22,8 +22,14 @@ QUEUE_COLUMNS = [
     "recognized_revenue", "failed_invoice_amount", "support_tickets", "high_priority_tickets",
     "avg_resolved_hours", "health_score", "churn_risk_score", "churn_risk_band",
 ]
-QUEUE_ORDER = [F.col("churn_risk_score").desc(), F.col("recognized_revenue").desc(),
-               F.col("account_id").asc()]
+
+
+def queue_order() -> list[Column]:
+    """Risk desc, revenue desc; account id breaks ties."""
+    return [F.col("churn_risk_score").desc(), F.col("recognized_revenue").desc(),
+            F.col("account_id").asc()]
+
+
 ATTENTION_BANDS = ["high", "already_churned"]
 
 # Attention reasons (label, type, source, detail text).
@@ -137,7 +143,7 @@ def attention_queue(wh: Warehouse) -> DataFrame:
 
 def ordered_queue(wh: Warehouse) -> DataFrame:
     """Risk desc, revenue desc (account id breaks ties)."""
-    return attention_queue(wh).drop("segment_median_features").orderBy(*QUEUE_ORDER)
+    return attention_queue(wh).drop("segment_median_features").orderBy(*queue_order())
 
 
 # --- W6-W10: rollups ----------------------------------------------------------
