@@ -73,3 +73,16 @@ def title_case(x: Column) -> Column:
 
 def risk_label(band: Column) -> Column:
     return F.when(band == "already_churned", F.lit("Already churned")).otherwise(title_case(band))
+
+
+def js_string(x: Column, type_name: str) -> Column:
+    """``String(value)`` of the viewer for one field; missing is empty.
+
+    Whole doubles print without a fraction (``100``, not ``100.0``); other
+    doubles print their shortest round-trip digits."""
+    if type_name == "double":
+        whole = (x == F.floor(x)) & (F.abs(x) < F.lit(1e15))
+        text = F.when(whole, x.cast("bigint").cast("string")).otherwise(x.cast("string"))
+    else:
+        text = x.cast("string")
+    return F.coalesce(text, F.lit(""))

@@ -8,7 +8,7 @@ runs until an action; ``build`` materialises the requested models as tables.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -76,9 +76,9 @@ _BUILDERS = {name: fn for _, name, fn in MODELS} | HELPERS
 class Warehouse:
     """Lazy model context over eight raw source DataFrames."""
 
-    def __init__(self, spark: SparkSession, sources: dict[str, DataFrame]):
+    def __init__(self, spark: SparkSession, sources: Mapping[str, DataFrame]):
         self.spark = spark
-        self.sources = dict(sources)
+        self.sources = sources
         self._tables: dict[str, DataFrame] = {}
 
     @classmethod

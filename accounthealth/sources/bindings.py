@@ -15,9 +15,13 @@ Scale notes
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from accounthealth.sources.schemas import DRIVER_TABLES
+
 # Fixed values of the bindings (enumerations in the order the rules index them).
 SEGMENTS = ["startup", "mid_market", "enterprise"]
 LIFECYCLES = ["lead", "trial", "customer", "churned"]
@@ -52,16 +56,35 @@ def _days_after(day: str, offset: Column) -> Column:
     return F.date_add(F.lit(day).cast("date"), offset.cast("int"))
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+class DriverTables:
+    """The driver folder as seen by one set of bindings: each table is read
+    (file listing, footer) once and shared derivations are built once, so
+    every binding that uses them shares the same subtree and Spark can reuse
+    its exchanges."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+        self._memo: dict[str, DataFrame] = {}
+
+    def memo(self, name: str, build) -> DataFrame:
+        if name not in self._memo:
+            self._memo[name] = build()
+        return self._memo[name]
 
+    def table(self, name: str) -> DataFrame:
+        path = f"{self.sf_dir}/{name}.parquet"
+        return self.memo(name, lambda: self.spark.read.schema(DRIVER_TABLES[name]).parquet(path))
 
-def _distinct_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+
+def _distinct_accounts(t: DriverTables) -> DataFrame:
     """One row per customer; ``crm_accounts`` adds exact copies on top."""
-    customer = _table(spark, sf_dir, "customer").select(
-        "c_custkey", "c_name", "c_nationkey", "c_mktsegment")
-    nation = _table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
-    region = _table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    return t.memo("_distinct_accounts", lambda: _build_distinct_accounts(t))
+
+
+def _build_distinct_accounts(t: DriverTables) -> DataFrame:
+    customer = t.table("customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    nation = t.table("nation").select("n_nationkey", "n_regionkey")
+    region = t.table("region").select("r_regionkey", "r_name")
     k = F.col("c_custkey")
     seg_hash = (k * 7919) % 97
     life_hash = (k * 104729) % 89
@@ -85,13 +108,17 @@ def _distinct_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def crm_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = _distinct_accounts(spark, sf_dir)
+def crm_accounts(t: DriverTables) -> DataFrame:
+    base = _distinct_accounts(t)
     return base.unionByName(base.filter(F.col("account_id") % 100 == 7))
 
 
-def billing_subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    acc = _distinct_accounts(spark, sf_dir).filter(
+def billing_subscriptions(t: DriverTables) -> DataFrame:
+    return t.memo("_subscriptions", lambda: _build_subscriptions(t))
+
+
+def _build_subscriptions(t: DriverTables) -> DataFrame:
+    acc = _distinct_accounts(t).filter(
         F.col("lifecycle_stage").isin("customer", "churned"))
     k = F.col("account_id").cast("bigint")
     churned = F.col("lifecycle_stage") == "churned"
@@ -112,10 +139,10 @@ def billing_subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def billing_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = _table(spark, sf_dir, "orders").select(
+def billing_invoices(t: DriverTables) -> DataFrame:
+    orders = t.table("orders").select(
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
-    subs = billing_subscriptions(spark, sf_dir).select("subscription_id", "account_id")
+    subs = billing_subscriptions(t).select("subscription_id", "account_id")
     k = F.col("o_orderkey")
     return orders.join(subs, orders.o_custkey == subs.account_id).select(
         k.cast("int").alias("invoice_id"),
@@ -129,8 +156,8 @@ def billing_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def product_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = _table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
+def product_events(t: DriverTables) -> DataFrame:
+    ev = t.table("events").select("event_id", "ts", "user_id", "event_type")
     eid, uid = F.col("event_id"), F.col("user_id")
     account = F.when(eid % 10 < 6, (uid - uid % 10) * 10).otherwise(uid * 10 + eid % 7)
     return ev.select(
@@ -144,8 +171,8 @@ def product_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def support_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = _table(spark, sf_dir, "orders").select(
+def support_tickets(t: DriverTables) -> DataFrame:
+    orders = t.table("orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     k = F.col("o_orderkey")
     return orders.filter((k * 31) % 7 == 0).select(
@@ -158,8 +185,8 @@ def support_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def crm_opportunities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = _table(spark, sf_dir, "orders").select(
+def crm_opportunities(t: DriverTables) -> DataFrame:
+    orders = t.table("orders").select(
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
     k = F.col("o_orderkey")
     created = F.col("o_orderdate").cast("date")
@@ -173,15 +200,15 @@ def crm_opportunities(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def crm_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def crm_contacts(t: DriverTables) -> DataFrame:
     # Both sides are filtered on the order key before the distinct and the
     # join, so the lineitem scan ships only the qualifying (key, line) pairs.
     items = (
-        _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+        t.table("lineitem").select("l_orderkey", "l_linenumber")
         .filter((F.col("l_linenumber") <= 2) & (F.col("l_orderkey") % 6 == 0))
         .distinct()
     )
-    orders = (_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    orders = (t.table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
               .filter(F.col("o_orderkey") % 6 == 0))
     ok, ln = F.col("l_orderkey"), F.col("l_linenumber")
     return items.join(orders, items.l_orderkey == orders.o_orderkey).select(
@@ -193,8 +220,8 @@ def crm_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def marketing_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    acc = _distinct_accounts(spark, sf_dir)
+def marketing_leads(t: DriverTables) -> DataFrame:
+    acc = _distinct_accounts(t)
     k = F.col("account_id").cast("bigint")
     return acc.filter((k * 3) % 20 < 11).select(
         F.col("account_id").alias("lead_id"),
@@ -218,6 +245,24 @@ BINDINGS = {
 }
 
 
-def load(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+class LazySources(Mapping):
+    """The eight raw sources, each built on first use."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._tables, self._built = DriverTables(spark, sf_dir), {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = BINDINGS[name](self._tables)
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(BINDINGS)
+
+    def __len__(self) -> int:
+        return len(BINDINGS)
+
+
+def load(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
     """All eight raw sources as lazy DataFrames over the driver tables."""
-    return {name: fn(spark, sf_dir) for name, fn in BINDINGS.items()}
+    return LazySources(spark, sf_dir)

@@ -57,3 +57,29 @@ STAGED: dict[str, dict[str, T.DataType]] = {
 def raw_text_schema(source: str) -> T.StructType:
     """All-text schema for reading a CSV source without type inference."""
     return T.StructType([T.StructField(c, T.StringType(), True) for c in COLUMNS[source]])
+
+
+# Columns the bindings read from the driver's parquet tables, with their
+# stored types. Reading with an explicit schema skips footer inference on the
+# driver and asks the scan for exactly these columns.
+DRIVER_TABLES: dict[str, T.StructType] = {
+    "customer": T.StructType([T.StructField("c_custkey", T.LongType()),
+                              T.StructField("c_name", T.StringType()),
+                              T.StructField("c_nationkey", T.IntegerType()),
+                              T.StructField("c_mktsegment", T.StringType())]),
+    "nation": T.StructType([T.StructField("n_nationkey", T.IntegerType()),
+                            T.StructField("n_regionkey", T.IntegerType())]),
+    "region": T.StructType([T.StructField("r_regionkey", T.IntegerType()),
+                            T.StructField("r_name", T.StringType())]),
+    "orders": T.StructType([T.StructField("o_orderkey", T.LongType()),
+                            T.StructField("o_custkey", T.LongType()),
+                            T.StructField("o_totalprice", T.DoubleType()),
+                            T.StructField("o_orderdate", T.TimestampNTZType()),
+                            T.StructField("o_orderpriority", T.StringType())]),
+    "lineitem": T.StructType([T.StructField("l_orderkey", T.LongType()),
+                              T.StructField("l_linenumber", T.IntegerType())]),
+    "events": T.StructType([T.StructField("event_id", T.LongType()),
+                            T.StructField("ts", T.TimestampNTZType()),
+                            T.StructField("user_id", T.LongType()),
+                            T.StructField("event_type", T.StringType())]),
+}
