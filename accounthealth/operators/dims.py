@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from accounthealth.operators.staging import latest_per_key
 
@@ -53,13 +52,10 @@ def dim_customers(dim_acc: DataFrame, stg_subscriptions: DataFrame) -> DataFrame
 
 
 def dim_plans(spark: SparkSession) -> DataFrame:
-    """D3: literal plan catalogue."""
-    schema = T.StructType([
-        T.StructField("plan", T.StringType(), False),
-        T.StructField("base_mrr", T.IntegerType(), False),
-        T.StructField("description", T.StringType(), False),
-    ])
-    return spark.createDataFrame(PLANS, schema)
+    """D3: literal plan catalogue (a JVM-side literal relation)."""
+    rows = [F.struct(F.lit(plan).alias("plan"), F.lit(base).cast("int").alias("base_mrr"),
+                     F.lit(text).alias("description")) for plan, base, text in PLANS]
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def dim_date(spark: SparkSession) -> DataFrame:
