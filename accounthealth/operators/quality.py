@@ -39,7 +39,7 @@ def _lenient_ts(col: str) -> Column:
 
 def _duplicates() -> Column:
     # Rows repeating an earlier id; all null ids count as one value.
-    key = F.col("account_id").cast("int")
+    key = F.col("account_id").cast("bigint")
     return (F.count(F.lit(1)) - F.count_distinct(key)
             - F.max(F.when(key.isNull(), 1).otherwise(0)))
 

@@ -12,7 +12,7 @@ dq_observed AS (
     SELECT 1 AS position, 'duplicate_crm_accounts' AS name, 'critical' AS severity,
            0 AS threshold, FALSE AS zero_fails,
            (SELECT count(*) FROM (
-                SELECT row_number() OVER (PARTITION BY CAST(account_id AS INTEGER)) AS rn
+                SELECT row_number() OVER (PARTITION BY CAST(account_id AS BIGINT)) AS rn
                 FROM crm_accounts) WHERE rn > 1) AS observed,
            ' duplicate account_id values found in CRM accounts.' AS post
     UNION ALL

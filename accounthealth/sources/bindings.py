@@ -9,8 +9,8 @@ Scale notes
 - Every source is a narrow projection of one big table plus at most one
   join; ``customer`` joins ``nation``/``region`` (25 and 5 rows by the TPC-H
   spec), which the planner broadcasts from their file size.
-- Keys stay ``bigint`` in the arithmetic and are cast to ``int`` only at
-  the end (the source contract).
+- Keys are ``bigint`` throughout: event, invoice and contact keys pass
+  2^31 long before 100 TB.
 """
 
 from __future__ import annotations
@@ -92,7 +92,7 @@ def _build_distinct_accounts(t: DriverTables) -> DataFrame:
         customer.join(nation, customer.c_nationkey == nation.n_nationkey)
         .join(region, nation.n_regionkey == region.r_regionkey)
         .select(
-            k.cast("int").alias("account_id"),
+            k.cast("bigint").alias("account_id"),
             F.col("c_name").alias("account_name"),
             F.col("c_mktsegment").alias("industry"),
             F.col("r_name").alias("region"),
@@ -145,7 +145,7 @@ def billing_invoices(t: DriverTables) -> DataFrame:
     subs = billing_subscriptions(t).select("subscription_id", "account_id")
     k = F.col("o_orderkey")
     return orders.join(subs, orders.o_custkey == subs.account_id).select(
-        k.cast("int").alias("invoice_id"),
+        k.cast("bigint").alias("invoice_id"),
         F.col("subscription_id"),
         F.col("account_id"),
         F.col("o_orderdate").cast("date").alias("invoice_date"),
@@ -161,8 +161,8 @@ def product_events(t: DriverTables) -> DataFrame:
     eid, uid = F.col("event_id"), F.col("user_id")
     account = F.when(eid % 10 < 6, (uid - uid % 10) * 10).otherwise(uid * 10 + eid % 7)
     return ev.select(
-        eid.cast("int").alias("event_id"),
-        account.cast("int").alias("account_id"),
+        eid.cast("bigint").alias("event_id"),
+        account.cast("bigint").alias("account_id"),
         F.when(eid % 500 == 9, F.lit(None).cast("string"))
         .otherwise(_map(F.col("event_type"), EVENT_NAMES_BY_TYPE, OTHER_EVENT_NAME))
         .alias("event_name"),
@@ -176,8 +176,8 @@ def support_tickets(t: DriverTables) -> DataFrame:
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     k = F.col("o_orderkey")
     return orders.filter((k * 31) % 7 == 0).select(
-        k.cast("int").alias("ticket_id"),
-        F.col("o_custkey").cast("int").alias("account_id"),
+        k.cast("bigint").alias("ticket_id"),
+        F.col("o_custkey").cast("bigint").alias("account_id"),
         F.col("o_orderdate").alias("created_at"),
         _pick(k % 4, TICKET_CATEGORIES).alias("category"),
         _map(F.col("o_orderpriority"), PRIORITIES, OTHER_PRIORITY).alias("priority"),
@@ -191,8 +191,8 @@ def crm_opportunities(t: DriverTables) -> DataFrame:
     k = F.col("o_orderkey")
     created = F.col("o_orderdate").cast("date")
     return orders.filter((k * 37) % 11 == 0).select(
-        k.cast("int").alias("opportunity_id"),
-        F.col("o_custkey").cast("int").alias("account_id"),
+        k.cast("bigint").alias("opportunity_id"),
+        F.col("o_custkey").cast("bigint").alias("account_id"),
         _pick(k % 5, OPPORTUNITY_STAGES).alias("stage"),
         (F.floor("o_totalprice") / 2).alias("amount"),
         created.alias("created_at"),
@@ -212,8 +212,8 @@ def crm_contacts(t: DriverTables) -> DataFrame:
               .filter(F.col("o_orderkey") % 6 == 0))
     ok, ln = F.col("l_orderkey"), F.col("l_linenumber")
     return items.join(orders, items.l_orderkey == orders.o_orderkey).select(
-        (ok * 10 + ln).cast("int").alias("contact_id"),
-        F.col("o_custkey").cast("int").alias("account_id"),
+        (ok * 10 + ln).cast("bigint").alias("contact_id"),
+        F.col("o_custkey").cast("bigint").alias("account_id"),
         _pick((ok + ln) % 4, CONTACT_ROLES).alias("role"),
         (ok % 12 == 0).alias("is_primary"),
         F.col("o_orderdate").cast("date").alias("created_at"),

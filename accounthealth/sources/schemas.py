@@ -30,26 +30,28 @@ COLUMNS: dict[str, list[str]] = {
 SOURCE_NAMES: list[str] = list(COLUMNS)
 
 _I, _S, _D, _F, _B = T.IntegerType(), T.StringType(), T.DateType(), T.DoubleType(), T.BooleanType()
+# Surrogate ids are 64-bit: at warehouse scale event and invoice ids exceed 2^31.
+_ID = T.LongType()
 _TS = T.TimestampNTZType()
 
 # Typed result of the staging casts.
 STAGED: dict[str, dict[str, T.DataType]] = {
-    "crm_accounts": {"account_id": _I, "account_name": _S, "industry": _S, "region": _S,
+    "crm_accounts": {"account_id": _ID, "account_name": _S, "industry": _S, "region": _S,
                      "segment": _S, "lifecycle_stage": _S, "company_size": _I,
                      "created_at": _D},
-    "crm_contacts": {"contact_id": _I, "account_id": _I, "role": _S, "is_primary": _B,
+    "crm_contacts": {"contact_id": _ID, "account_id": _ID, "role": _S, "is_primary": _B,
                      "created_at": _D},
-    "crm_opportunities": {"opportunity_id": _I, "account_id": _I, "stage": _S,
+    "crm_opportunities": {"opportunity_id": _ID, "account_id": _ID, "stage": _S,
                           "amount": _F, "created_at": _D, "closed_at": _D},
-    "billing_subscriptions": {"subscription_id": _I, "account_id": _I, "plan": _S,
+    "billing_subscriptions": {"subscription_id": _ID, "account_id": _ID, "plan": _S,
                               "status": _S, "started_at": _D, "ended_at": _D, "mrr": _F},
-    "billing_invoices": {"invoice_id": _I, "subscription_id": _I, "account_id": _I,
+    "billing_invoices": {"invoice_id": _ID, "subscription_id": _ID, "account_id": _ID,
                          "invoice_date": _D, "amount": _F, "status": _S},
-    "product_events": {"event_id": _I, "account_id": _I, "event_name": _S,
+    "product_events": {"event_id": _ID, "account_id": _ID, "event_name": _S,
                        "event_at": _TS, "user_role": _S},
-    "support_tickets": {"ticket_id": _I, "account_id": _I, "created_at": _TS,
+    "support_tickets": {"ticket_id": _ID, "account_id": _ID, "created_at": _TS,
                         "category": _S, "priority": _S, "resolved_hours": _F},
-    "marketing_leads": {"lead_id": _I, "account_id": _I, "source": _S, "score": _I,
+    "marketing_leads": {"lead_id": _ID, "account_id": _ID, "source": _S, "score": _I,
                         "created_at": _D, "converted": _B},
 }
 
