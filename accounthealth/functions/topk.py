@@ -36,11 +36,12 @@ def ranked_records(df: DataFrame, key: str = "account_id", date_column: str | No
 
 
 def nest_records(ranked: DataFrame, key: str = "account_id", name: str = "records") -> DataFrame:
-    """One row per key with ``name`` = records in rank order (``rn`` dropped).
+    """One row per key with ``name`` = records in rank order. Each record keeps
+    every source column, the key included (``rn`` dropped).
 
     Lists are bounded by the limit (or by one row per month for trends), so
     each collected group is small."""
-    cols = [c for c in ranked.columns if c not in (key, "rn")]
+    cols = [c for c in ranked.columns if c != "rn"]
     packed = F.sort_array(F.collect_list(F.struct(F.col("rn"), *[F.col(c) for c in cols])))
     return ranked.groupBy(key).agg(
         F.transform(packed, lambda r: F.struct(*[r[c].alias(c) for c in cols])).alias(name))

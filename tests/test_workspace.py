@@ -55,6 +55,7 @@ def test_detail_document_and_json_sink(wh_small, tmp_path):
                                    "opportunities"}
     assert set(doc["trends"]) == {"usage", "revenue", "support"}
     assert "plan" in doc["account"]          # nulls written, not dropped
+    assert all(r["account_id"] == doc["account_id"] for r in doc["records"]["invoices"])
     for d in lines:
         assert len(d["records"]["invoices"]) <= 8 and len(d["adoption"]) <= 12
         dates = [i["invoice_date"] for i in d["records"]["invoices"]]
