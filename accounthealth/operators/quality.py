@@ -99,7 +99,6 @@ CHECKS: list[Check] = [
 ]
 
 CHECK_BY_NAME = {c.name: c for c in CHECKS}
-AUDIT_COLUMNS = ["position", "name", "status", "severity", "observed", "threshold", "detail"]
 
 
 def audit(wh: Warehouse, names: list[str] | None = None) -> DataFrame:

@@ -1,6 +1,5 @@
 """Driver contract and oracle agreement on the smallest tables."""
 
-import os
 
 import duckdb
 import pytest
