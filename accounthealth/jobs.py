@@ -30,11 +30,12 @@ def _json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
-def publish(wh: Warehouse, out: str) -> DataFrame:
+def publish(wh: Warehouse, out: str, buckets: int | None = None) -> DataFrame:
     """Build every model as a table, then write all outputs from the built
-    tables. Returns the build manifest."""
+    tables (bucketed on ``account_id`` when ``buckets`` is set). Returns the
+    build manifest."""
     out = out.rstrip("/")
-    manifest = sinks.write_tables(wh, f"{out}/warehouse")
+    manifest = sinks.write_tables(wh, f"{out}/warehouse", buckets=buckets)
     audit = quality.audit(wh)
     sinks.write_audit_json(audit, f"{out}/quality_audit")
     scored = wh.table("scored_accounts")
@@ -58,8 +59,10 @@ def main(argv: list[str] | None = None) -> None:
     src.add_argument("--csv-dir", help="folder with <source>.csv files")
     src.add_argument("--parquet-dir", help="folder with the TPC-H-like parquet tables")
     ap.add_argument("--out", required=True, help="output folder (shared storage on a cluster)")
+    ap.add_argument("--buckets", type=int, default=None,
+                    help="bucket the account-keyed models on account_id into this many buckets")
     args = ap.parse_args(argv)
     spark = configure(SparkSession.builder.appName("accounthealth").getOrCreate())
     wh = (Warehouse.from_csv(spark, args.csv_dir) if args.csv_dir
           else Warehouse.from_testdata(spark, args.parquet_dir))
-    publish(wh, args.out).orderBy("table").show(30, truncate=False)
+    publish(wh, args.out, args.buckets).orderBy("table").show(30, truncate=False)

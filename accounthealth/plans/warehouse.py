@@ -101,6 +101,10 @@ class Warehouse:
             self._tables[name] = _BUILDERS[name](self)
         return self._tables[name]
 
+    def bind(self, name: str, df: DataFrame) -> None:
+        """Replace a model by an equivalent frame (e.g. its written table)."""
+        self._tables[name] = df
+
     def manifest(self, names: list[str] | None = None) -> DataFrame:
         """(layer, table, rows) for the requested models, ordered by name."""
         frames = [

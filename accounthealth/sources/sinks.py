@@ -7,6 +7,8 @@ audit document, which has exactly ten check rows, is written as one file.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,27 +19,44 @@ TIMESTAMP_TEXT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
 
 
 def write_tables(wh: Warehouse, out_dir: str, names: list[str] | None = None,
-                 fmt: str = "parquet") -> DataFrame:
+                 fmt: str = "parquet", buckets: int | None = None) -> DataFrame:
     """Write the requested models in build order (full overwrite).
 
     After each write the model is re-bound to the written table, so later
     models read it instead of recomputing its lineage (each model is a
     materialisation barrier, and a lost executor only recomputes from the
-    last written table). ``out_dir`` should be a shared folder. Returns the
-    manifest (layer, table, rows, path) read back from the written tables.
+    last written table). ``out_dir`` should be a shared folder.
+
+    With ``buckets``, every model keyed by ``account_id`` is written as a
+    table bucketed on it (same count for all), so later joins, aggregates and
+    windows on ``account_id`` between them read co-located buckets instead of
+    shuffling (the account detail document drops from 14 shuffles to none).
+    Each model is hash-partitioned into the buckets before the write, so a
+    bucket is one file, not one file per writing task. Worth it when reports
+    run over the built tables at scale; at small scale the write costs more
+    than the shuffles it saves. Returns the manifest (layer, table, rows, path).
     """
     wanted = set(names or MODEL_NAMES)
     spark = wh.spark
+    root = out_dir.rstrip("/")
+    tag = hashlib.sha1(root.encode()).hexdigest()[:10]
     written = []
     for name in MODEL_NAMES:  # build order
         if name not in wanted:
             continue
-        path = f"{out_dir.rstrip('/')}/{name}"
-        wh.table(name).write.mode("overwrite").format(fmt).save(path)
-        wh._tables[name] = spark.read.format(fmt).load(path)
+        path, df = f"{root}/{name}", wh.table(name)
+        if buckets and "account_id" in df.columns:
+            table = f"ah_{tag}_{name}"
+            (df.repartition(buckets, "account_id")
+             .write.mode("overwrite").format(fmt).bucketBy(buckets, "account_id")
+             .option("path", path).saveAsTable(table))
+            wh.bind(name, spark.table(table))
+        else:
+            df.write.mode("overwrite").format(fmt).save(path)
+            wh.bind(name, spark.read.format(fmt).load(path))
         written.append(name)
     frames = [
-        wh._tables[n].agg(F.count(F.lit(1)).alias("rows")).select(
+        wh.table(n).agg(F.count(F.lit(1)).alias("rows")).select(
             F.lit(LAYER[n]).alias("layer"), F.lit(n).alias("table"), "rows",
             F.lit(f"{out_dir.rstrip('/')}/{n}").alias("path"))
         for n in sorted(written)

@@ -60,3 +60,19 @@ def test_summary_joins_reuse_account_partitioning(static_plans):
     # aggregate), and none between the joins of the summary chain
     plan = static_plans["mart_account_summary"]
     assert plan.count("Exchange hashpartitioning(account_id") <= 7
+
+
+def test_bucketed_build_removes_report_shuffles(spark, tmp_path):
+    from accounthealth.sources.sinks import write_tables
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        wh = Warehouse.from_testdata(spark, "/root/testdata/sf0.001")
+        write_tables(wh, str(tmp_path / "wh"), buckets=8).collect()
+        queries = all_queries()
+        for key in ("ws_account_detail", "ws_recent_events", "ws_usage_trend"):
+            plan = _plan(queries[key].build(wh))
+            assert "Exchange hashpartitioning" not in plan, key
+        assert len(list((tmp_path / "wh" / "stg_product_events").glob("part-*"))) <= 8
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
