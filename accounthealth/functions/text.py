@@ -75,14 +75,41 @@ def risk_label(band: Column) -> Column:
     return F.when(band == "already_churned", F.lit("Already churned")).otherwise(title_case(band))
 
 
+def _js_double_text(x: Column) -> Column:
+    """Shortest round-trip digits of a double in the viewer's notation.
+
+    Spark prints the same digits as the viewer, but in ``d.dddE<n>``
+    notation below 1e-3 and from 1e7 up, where the viewer writes plain
+    decimals (it uses an exponent only below 1e-6 or from 1e21)."""
+    text = x.cast("string")
+    pattern = r"^(-?)(\d)\.(\d+)E(-?\d+)$"
+    sign = F.regexp_extract(text, pattern, 1)
+    lead = F.regexp_extract(text, pattern, 2)
+    rest = F.regexp_extract(text, pattern, 3)
+    rest = F.when(rest == "0", F.lit("")).otherwise(rest)
+    exp = F.regexp_extract(text, pattern, 4).cast("int")
+    digits = F.concat(lead, rest)
+    width = F.length(rest)
+    mantissa = F.concat(lead, F.when(rest == "", F.lit("")).otherwise(F.concat(F.lit("."), rest)))
+    below_one = F.concat(sign, F.lit("0."), F.repeat(F.lit("0"), -exp - 1), digits)
+    above_one = F.when(width <= exp, F.concat(sign, digits, F.repeat(F.lit("0"), exp - width))) \
+        .otherwise(F.concat(sign, lead, rest.substr(F.lit(1), exp), F.lit("."),
+                            rest.substr(exp + 1, width)))
+    return (F.when(~text.contains("E"), text)
+            .when(exp < -6, F.concat(sign, mantissa, F.lit("e-"), (-exp).cast("string")))
+            .when(exp < 0, below_one)
+            .when(exp >= 21, F.concat(sign, mantissa, F.lit("e+"), exp.cast("string")))
+            .otherwise(above_one))
+
+
 def js_string(x: Column, type_name: str) -> Column:
     """``String(value)`` of the viewer for one field; missing is empty.
 
     Whole doubles print without a fraction (``100``, not ``100.0``); other
-    doubles print their shortest round-trip digits."""
+    doubles print their shortest round-trip digits in plain notation."""
     if type_name == "double":
         whole = (x == F.floor(x)) & (F.abs(x) < F.lit(1e15))
-        text = F.when(whole, x.cast("bigint").cast("string")).otherwise(x.cast("string"))
+        text = F.when(whole, x.cast("bigint").cast("string")).otherwise(_js_double_text(x))
     else:
         text = x.cast("string")
     return F.coalesce(text, F.lit(""))
