@@ -61,8 +61,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     A configured cluster value is always kept; the fallback exists for local
     tests, where the driver and executors share one machine.
     """
-    current = checkpoint_dir(spark)
-    if not current:
-        current = tempfile.mkdtemp(prefix="accounthealth-ckpt-")
-    spark.sparkContext.setCheckpointDir(current)
-    return current
+    sc = spark.sparkContext
+    if sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    folder = sc.getConf().get("spark.checkpoint.dir", None) or \
+        tempfile.mkdtemp(prefix="accounthealth-ckpt-")
+    sc.setCheckpointDir(folder)
+    return sc.getCheckpointDir()
