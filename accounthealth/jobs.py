@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
 
 from accounthealth.operators import explorer, quality, reports
@@ -62,7 +63,10 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--buckets", type=int, default=None,
                     help="bucket the account-keyed models on account_id into this many buckets")
     args = ap.parse_args(argv)
-    spark = configure(SparkSession.builder.appName("accounthealth").getOrCreate())
+    builder = SparkSession.builder.appName("accounthealth")
+    if not SparkConf().contains("spark.ui.enabled"):
+        builder = builder.config("spark.ui.enabled", "false")   # batch job: no web UI
+    spark = configure(builder.getOrCreate())
     wh = (Warehouse.from_csv(spark, args.csv_dir) if args.csv_dir
           else Warehouse.from_testdata(spark, args.parquet_dir))
     publish(wh, args.out, args.buckets).orderBy("table").show(30, truncate=False)
