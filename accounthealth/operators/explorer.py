@@ -71,11 +71,7 @@ def sort_order(mode: str = "risk") -> list[Column]:
 def viewer_queue(wh: Warehouse) -> DataFrame:
     """The queue rows the viewer holds, with the viewer's segment median
     (nulls as zero, null segment is a group) and the next action (A8/A9)."""
-    queue = ws.attention_queue(wh).drop("segment_median_features")
-    medians = ws.segment_median(queue, null_as_zero=True, name="viewer_segment_median") \
-        .withColumnRenamed("segment", "_median_segment")
-    joined = queue.join(medians, queue.segment.eqNullSafe(F.col("_median_segment")), "left") \
-        .drop("_median_segment")
+    joined = ws.attention_queue(wh).drop("segment_median_features")
     median = F.coalesce(F.col("viewer_segment_median"), F.lit(0.0))
     action = (
         F.when(_num("failed_invoice_amount") > 0, ACTION_BILLING)

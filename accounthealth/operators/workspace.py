@@ -65,7 +65,7 @@ COVERAGE_SOURCES = [
 # --- W2: segment median -----------------------------------------------------
 
 def segment_median(queue_base: DataFrame, value: str = "avg_daily_features",
-                   null_as_zero: bool = False, name: str = "segment_median_features") -> DataFrame:
+                   name: str = "segment_median_features") -> DataFrame:
     """Exact (interpolated) median of ``value`` per segment.
 
     The rows are first counted per (segment, value), which combines map-side
@@ -73,8 +73,8 @@ def segment_median(queue_base: DataFrame, value: str = "avg_daily_features",
     (value, count) pairs, so one segment's state is its distinct values, not
     its rows.
     """
-    v = F.coalesce(F.col(value), F.lit(0.0)) if null_as_zero else F.col(value)
-    counts = (queue_base.select("segment", v.alias("_v")).filter(F.col("_v").isNotNull())
+    counts = (queue_base.select("segment", F.col(value).alias("_v"))
+              .filter(F.col("_v").isNotNull())
               .groupBy("segment", "_v").agg(F.count(F.lit(1)).alias("_n")))
     return counts.groupBy("segment").agg(
         F.percentile(F.col("_v"), F.lit(0.5), F.col("_n")).alias(name))
@@ -121,29 +121,40 @@ def attention_reasons() -> Column:
     return F.slice(F.when(F.size(fired) == 0, fallback).otherwise(fired), 1, MAX_REASONS)
 
 
-def attention_queue(wh: Warehouse) -> DataFrame:
-    """Queue rows with reasons, primary reason and classification.
+MEDIAN_COLUMNS = ["segment_median_features", "viewer_segment_median"]
+
 
-    The segment medians are one row per segment; the planner sees the small
-    aggregate at runtime (AQE) and broadcasts it, so the queue is not
+def attention_queue(wh: Warehouse) -> DataFrame:
+    """Queue rows with reasons, primary reason and classification,
+    plus both segment medians (``MEDIAN_COLUMNS``).
+
+    One median pass serves two rules. The workspace median (W2) leaves rows
+    without a segment unmatched. The viewer's copy (A9) treats the null
+    segment as a group and missing values as zero, and values are never
+    missing here because the summary coalesces them. The medians are one row
+    per segment; AQE measures them and broadcasts, so the queue is not
     shuffled for this join.
     """
     base = queue_base(wh)
-    medians = segment_median(base)
+    medians = segment_median(base, name="_median").withColumnRenamed("segment", "_median_segment")
+    segment = F.col("segment")
     reasons = attention_reasons()
     return (
-        base.join(medians, "segment", "left")
+        base.join(medians, segment.eqNullSafe(F.col("_median_segment")), "left")
+        .withColumn("segment_median_features",
+                    F.when(segment.isNull(), F.lit(None).cast("double"))
+                    .otherwise(F.col("_median")))
         .withColumn("attention_reasons", reasons)
         .select(*QUEUE_COLUMNS, "attention_reasons",
                 F.col("attention_reasons")[0]["label"].alias("primary_reason"),
                 F.lit("heuristic").alias("signal_classification"),
-                "segment_median_features")
+                "segment_median_features", F.col("_median").alias("viewer_segment_median"))
     )
 
 
 def ordered_queue(wh: Warehouse) -> DataFrame:
     """Risk desc, revenue desc (account id breaks ties)."""
-    return attention_queue(wh).drop("segment_median_features").orderBy(*queue_order())
+    return attention_queue(wh).drop(*MEDIAN_COLUMNS).orderBy(*queue_order())
 
 
 # --- W6-W10: rollups ----------------------------------------------------------
@@ -295,7 +306,7 @@ def json_safe(df: DataFrame) -> DataFrame:
 def account_detail(wh: Warehouse) -> DataFrame:
     """One row per queue account with its record lists, trends and
     adoption (missing lists are empty arrays)."""
-    queue = json_safe(attention_queue(wh).drop("segment_median_features"))
+    queue = json_safe(attention_queue(wh).drop(*MEDIAN_COLUMNS))
     detail = queue.select("account_id", F.struct(*queue.columns).alias("account"))
     nested = {}
     for name in RECORD_LISTS:
