@@ -30,7 +30,8 @@ def write_tables(wh: Warehouse, out_dir: str, names: list[str] | None = None,
     With ``buckets``, every model keyed by ``account_id`` is written as a
     table bucketed on it (same count for all), so later joins, aggregates and
     windows on ``account_id`` between them read co-located buckets instead of
-    shuffling (the account detail document drops from 14 shuffles to none).
+    shuffling (the account detail document drops from 14 account-keyed shuffles
+    to none).
     Each model is hash-partitioned into the buckets before the write, so a
     bucket is one file, not one file per writing task. Worth it when reports
     run over the built tables at scale; at small scale the write costs more
