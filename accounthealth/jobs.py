@@ -2,6 +2,7 @@
 
     spark-submit -m accounthealth --csv-dir s3://bucket/raw --out s3://bucket/run-42
     python -m accounthealth --parquet-dir /root/testdata/sf0.01 --out /tmp/run
+    python -m accounthealth --csv-dir RAW --built /tmp/run/warehouse --out /tmp/run2
 
 Outputs under ``--out`` (every one a distributed write):
 
@@ -31,12 +32,15 @@ def _json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
-def publish(wh: Warehouse, out: str, buckets: int | None = None) -> DataFrame:
+def publish(wh: Warehouse, out: str, buckets: int | None = None,
+            build: bool = True) -> DataFrame | None:
     """Build every model as a table, then write all outputs from the built
-    tables (bucketed on ``account_id`` when ``buckets`` is set). Returns the
-    build manifest."""
+    tables (bucketed on ``account_id`` when ``buckets`` is set). With
+    ``build=False`` the warehouse is already bound to a previous build
+    (``Warehouse.from_built``) and only the outputs are written. Returns the
+    build manifest when it builds."""
     out = out.rstrip("/")
-    manifest = sinks.write_tables(wh, f"{out}/warehouse", buckets=buckets)
+    manifest = sinks.write_tables(wh, f"{out}/warehouse", buckets=buckets) if build else None
     audit = quality.audit(wh)
     sinks.write_audit_json(audit, f"{out}/quality_audit")
     scored = wh.table("scored_accounts")
@@ -60,6 +64,8 @@ def main(argv: list[str] | None = None) -> None:
     src.add_argument("--csv-dir", help="folder with <source>.csv files")
     src.add_argument("--parquet-dir", help="folder with the TPC-H-like parquet tables")
     ap.add_argument("--out", required=True, help="output folder (shared storage on a cluster)")
+    ap.add_argument("--built", default=None,
+                    help="warehouse folder of a previous build: publish from it, no rebuild")
     ap.add_argument("--buckets", type=int, default=None,
                     help="bucket the account-keyed models on account_id into this many buckets")
     args = ap.parse_args(argv)
@@ -69,4 +75,7 @@ def main(argv: list[str] | None = None) -> None:
     spark = configure(builder.getOrCreate())
     wh = (Warehouse.from_csv(spark, args.csv_dir) if args.csv_dir
           else Warehouse.from_testdata(spark, args.parquet_dir))
+    if args.built:
+        publish(Warehouse.from_built(spark, args.built, wh.sources), args.out, build=False)
+        return
     publish(wh, args.out, args.buckets).orderBy("table").show(30, truncate=False)

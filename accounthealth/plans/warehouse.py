@@ -91,6 +91,18 @@ class Warehouse:
         """Sources read from ``<raw_dir>/<source>.csv`` files."""
         return cls(spark, csv_source.load(spark, raw_dir))
 
+    @classmethod
+    def from_built(cls, spark: SparkSession, warehouse_dir: str,
+                   sources: Mapping[str, DataFrame] | None = None) -> "Warehouse":
+        """Models bound to a previous build (``sinks.write_tables`` output), so
+        reports run without rebuilding. Raw-side audit checks still read
+        ``sources`` (the raw files), as the audit always does."""
+        wh = cls(spark, sources or {})
+        root = warehouse_dir.rstrip("/")
+        for name in MODEL_NAMES:
+            wh.bind(name, spark.read.parquet(f"{root}/{name}"))
+        return wh
+
     def raw(self, source: str) -> DataFrame:
         return self.sources[source]
 

@@ -23,3 +23,17 @@ def test_publish_writes_all_outputs(spark, tmp_path):
     assert len(accounts) == 150
     lines = [x for f in glob.glob(f"{out}/queue_export/part-*.csv") for x in open(f)]
     assert len([x for x in lines if not x.startswith('"account_id"')]) == 150
+
+
+def test_publish_from_a_previous_build(spark, tmp_path):
+    wh = Warehouse.from_testdata(spark, "/root/testdata/sf0.001")
+    first = str(tmp_path / "first")
+    jobs.publish(wh, first).collect()
+    built = Warehouse.from_built(spark, f"{first}/warehouse", wh.sources)
+    assert "FileScan" in built.table("mart_churn_risk")._jdf.queryExecution() \
+        .executedPlan().toString()
+    second = str(tmp_path / "second")
+    assert jobs.publish(built, second, build=False) is None
+    a = sorted(open(f).read() for f in glob.glob(f"{first}/queue_export/part-*.csv"))
+    b = sorted(open(f).read() for f in glob.glob(f"{second}/queue_export/part-*.csv"))
+    assert "".join(a) == "".join(b)
