@@ -82,10 +82,15 @@ def segment_median(queue_base: DataFrame, value: str = "avg_daily_features",
 
 # --- W1, W3-W5: the queue ---------------------------------------------------
 
-def queue_base(wh: Warehouse) -> DataFrame:
-    """Health joined to risk (rows with an id), 19 columns."""
-    return wh.table("scored_accounts").filter(F.col("account_id").isNotNull()) \
-        .select(*QUEUE_COLUMNS)
+def queue_base(wh: Warehouse, shared: bool = False) -> DataFrame:
+    """Health joined to risk (rows with an id), 19 columns.
+
+    ``shared``: the caller reads the queue twice (rows and their segment
+    medians), so the scored accounts are computed once (checkpointed unless
+    the health mart is already a written table)."""
+    scored = (wh.checkpointed("scored_accounts", "mart_customer_health") if shared
+              else wh.table("scored_accounts"))
+    return scored.filter(F.col("account_id").isNotNull()).select(*QUEUE_COLUMNS)
 
 
 def _reason(spec: tuple[str, str, str, str], detail: Column | None = None) -> Column:
@@ -135,7 +140,7 @@ def attention_queue(wh: Warehouse) -> DataFrame:
     per segment; AQE measures them and broadcasts, so the queue is not
     shuffled for this join.
     """
-    base = queue_base(wh)
+    base = queue_base(wh, shared=True)
     medians = segment_median(base, name="_median").withColumnRenamed("segment", "_median_segment")
     segment = F.col("segment")
     reasons = attention_reasons()
