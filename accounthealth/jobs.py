@@ -9,7 +9,8 @@ Outputs under ``--out`` (every one a distributed write):
     warehouse/<model>/           the 21 models (parquet), built in order
     quality_audit/               audit document (JSON)
     readout/<name>/              KPIs, top risk, retention listing (JSON lines)
-    workspace/<name>/            queue rollups and source coverage (JSON lines)
+    workspace/summary/           one document: kpis, segments, lifecycle, adoption,
+                                 retention, quality, source coverage
     workspace/accounts/          per-account detail documents (JSON lines by segment)
     queue_export/                the attention queue as CSV
 """
@@ -47,12 +48,7 @@ def publish(wh: Warehouse, out: str, buckets: int | None = None,
     _json(reports.kpis(scored), f"{out}/readout/kpis")
     _json(reports.top_risk(scored), f"{out}/readout/top_risk")
     _json(reports.retention_listing(wh.table("mart_revenue_retention")), f"{out}/readout/retention")
-    for name, frame in (("kpis", ws.portfolio_kpis(wh)), ("segments", ws.segment_rollup(wh)),
-                        ("lifecycle", ws.lifecycle_rollup(wh)),
-                        ("adoption", ws.adoption_listing(wh)),
-                        ("retention", ws.retention_listing(wh)),
-                        ("source_coverage", ws.source_coverage(wh))):
-        _json(frame, f"{out}/workspace/{name}")
+    _json(ws.summary_document(wh, audit).coalesce(1), f"{out}/workspace/summary")
     sinks.write_account_details(ws.account_detail(wh), f"{out}/workspace/accounts")
     sinks.write_queue_csv(explorer.export_rows(wh), f"{out}/queue_export")
     return manifest

@@ -276,6 +276,48 @@ def record_list(wh: Warehouse, name: str) -> DataFrame:
     return ranked_records(source(wh), "account_id", date_column, limit)
 
 
+# --- workspace summary document -------------------------------------------------
+
+def _section(df: DataFrame, name: str, order: str | None = None) -> DataFrame:
+    """One row holding ``df`` as an array of structs (a small, bounded frame),
+    in ``order`` when given."""
+    cols = [c for c in df.columns if c != order] if order else df.columns
+    if order:
+        packed = F.sort_array(F.collect_list(F.struct(F.col(order), *[F.col(c) for c in cols])))
+        items = F.transform(packed, lambda r: F.struct(*[r[c].alias(c) for c in cols]))
+    else:
+        items = F.collect_list(F.struct(*[F.col(c) for c in cols]))
+    return df.agg(items.alias(name))
+
+
+def summary_document(wh: Warehouse, audit: DataFrame) -> DataFrame:
+    """The workspace's small sections as one row: kpis, segments, lifecycle,
+    adoption, retention, quality and source coverage (queue rows and account
+    details are large and are written as JSON lines instead).
+
+    Every section is one aggregate row over a frame bounded by the category
+    domains (segments, stages, events, plans, checks, sources). They are
+    combined by a union and one global aggregate, not by joins."""
+    from accounthealth.sources.sinks import audit_document
+
+    kpis = portfolio_kpis(wh)
+    sections = [
+        kpis.select(F.struct(*kpis.columns).alias("kpis")),
+        _section(segment_rollup(wh), "segments", "rank"),
+        _section(lifecycle_rollup(wh), "lifecycle", "rank"),
+        _section(adoption_listing(wh), "adoption", "rank"),
+        _section(retention_listing(wh), "retention", "rank"),
+        audit_document(audit).select(F.struct("summary", "checks").alias("quality")),
+        _section(source_coverage(wh).withColumn("_o", F.monotonically_increasing_id()),
+                 "source_coverage", "_o"),
+    ]
+    names = [s.columns[0] for s in sections]
+    rows = sections[0]
+    for sec in sections[1:]:
+        rows = rows.unionByName(sec, allowMissingColumns=True)
+    return rows.agg(*[F.first(n, ignorenulls=True).alias(n) for n in names])
+
+
 # --- W22: source coverage ------------------------------------------------------
 
 def source_coverage(wh: Warehouse) -> DataFrame:

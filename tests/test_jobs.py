@@ -18,6 +18,16 @@ def test_publish_writes_all_outputs(spark, tmp_path):
     assert audit["summary"]["total_checks"] == 10
     kpis = [json.loads(x) for f in glob.glob(f"{out}/readout/kpis/part-*.json") for x in open(f)]
     assert kpis[0]["accounts"] == 150
+    (summary_file,) = glob.glob(f"{out}/workspace/summary/part-*.json")
+    summary = json.loads(open(summary_file).read())
+    assert set(summary) == {"kpis", "segments", "lifecycle", "adoption", "retention", "quality",
+                            "source_coverage"}
+    assert summary["kpis"]["accounts"] == 150
+    revenue = [s["recognized_revenue"] for s in summary["segments"]]
+    assert len(revenue) == 3 and revenue == sorted(revenue, reverse=True)
+    assert len(summary["source_coverage"]) == 8
+    assert summary["source_coverage"][0]["source"] == "CRM accounts"
+    assert summary["quality"]["summary"]["total_checks"] == 10
     accounts = [x for f in glob.glob(f"{out}/workspace/accounts/segment=*/part-*.json")
                 for x in open(f)]
     assert len(accounts) == 150
