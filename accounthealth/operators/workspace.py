@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from accounthealth.functions.median import grouped_median
 from accounthealth.functions.money import exact_avg, money_sum, score_avg
 from accounthealth.functions.topk import nest_records, ranked_records
 from accounthealth.plans.warehouse import Warehouse
@@ -66,18 +67,10 @@ COVERAGE_SOURCES = [
 
 def segment_median(queue_base: DataFrame, value: str = "avg_daily_features",
                    name: str = "segment_median_features") -> DataFrame:
-    """Exact (interpolated) median of ``value`` per segment.
-
-    The rows are first counted per (segment, value), which combines map-side
-    and spreads a large segment over many reducers; the median then reads
-    (value, count) pairs, so one segment's state is its distinct values, not
-    its rows.
-    """
-    counts = (queue_base.select("segment", F.col(value).alias("_v"))
-              .filter(F.col("_v").isNotNull())
-              .groupBy("segment", "_v").agg(F.count(F.lit(1)).alias("_n")))
-    return counts.groupBy("segment").agg(
-        F.percentile(F.col("_v"), F.lit(0.5), F.col("_n")).alias(name))
+    """Exact (interpolated) median of ``value`` per segment, found by
+    narrowing value-range buckets (``functions.median``): no task ever holds
+    a whole segment, however large one segment grows."""
+    return grouped_median(queue_base, "segment", value, name)
 
 
 # --- W1, W3-W5: the queue ---------------------------------------------------
