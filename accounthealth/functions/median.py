@@ -16,6 +16,11 @@ all its distinct values there. Here the median is found by narrowing:
 The result is exact and interpolated like ``median``: the mean of the two
 middle values (equal for an odd count). Null values are ignored and a null
 group is a group, as in ``groupBy``.
+
+Buckets split a group's value range evenly, so a task holds about
+1/``buckets`` of a group's distinct values. The worst case is distinct values
+crowded into one narrow range beside far outliers: one bucket then holds most
+of them. That is still bounded by the distinct values, never by the rows.
 """
 
 from __future__ import annotations
