@@ -40,6 +40,8 @@ def local_session(cpus: int | None = None, shuffle_partitions: int | None = None
         .config("spark.driver.memory", os.environ.get("ACCOUNTHEALTH_DRIVER_MEMORY", "8g"))
         .config("spark.sql.shuffle.partitions", str(parts))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # checkpoints taken for shared frames are removed once unreferenced
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in SQL_DEFAULTS.items():
         builder = builder.config(key, value)
