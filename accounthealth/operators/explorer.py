@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from accounthealth.functions.cache import per_context
 from accounthealth.functions.text import DOT, js_currency, js_number, risk_label, title_case
 from accounthealth.operators import workspace as ws
 from accounthealth.plans.warehouse import Warehouse
@@ -176,9 +177,9 @@ def export_rows(wh: Warehouse, sort: str = "risk", **filters) -> DataFrame:
         "recognized_revenue", "primary_reason", "next_action")
 
 
-def account_brief(wh: Warehouse) -> DataFrame:
-    """The account brief text for every account."""
-    q = viewer_queue(wh)
+@per_context
+def brief_text() -> Column:
+    """The account brief of one queue row, as one text column."""
     c = F.col
     lines = [
         F.lit(BRIEF_TITLE), F.lit(""),
@@ -198,8 +199,12 @@ def account_brief(wh: Warehouse) -> DataFrame:
                  js_number(c("high_priority_tickets")), F.lit(" high priority)")),
         F.lit(""), F.lit("SOURCE NOTE"), F.lit(SOURCE_NOTE), F.lit(MODEL_NOTE),
     ]
-    return q.select("account_id",
-                    F.concat(F.concat_ws("\n", *lines), F.lit("\n")).alias("brief"))
+    return F.concat(F.concat_ws("\n", *lines), F.lit("\n"))
+
+
+def account_brief(wh: Warehouse) -> DataFrame:
+    """The account brief text for every account."""
+    return viewer_queue(wh).select("account_id", brief_text().alias("brief"))
 
 
 def heuristic_flags(wh: Warehouse) -> DataFrame:
@@ -210,9 +215,9 @@ def heuristic_flags(wh: Warehouse) -> DataFrame:
         "account_id", (F.col("pos") + 1).alias("position"), "r.label", "r.source", "r.detail")
 
 
-def observed_facts(wh: Warehouse) -> DataFrame:
-    """Four label/detail facts per account, flattened in order."""
-    q = ws.queue_base(wh)
+@per_context
+def observed_fact_list() -> Column:
+    """The four label/detail facts of one queue row."""
     c = F.col
     details = [
         F.concat(title_case(c("lifecycle_stage")), F.lit(DOT), title_case(c("segment")),
@@ -223,7 +228,12 @@ def observed_facts(wh: Warehouse) -> DataFrame:
         F.concat(js_number(c("support_tickets")), F.lit(" tickets"), F.lit(DOT),
                  js_number(c("high_priority_tickets")), F.lit(" high priority.")),
     ]
-    facts = F.array(*[F.struct(F.lit(label).alias("label"), d.alias("detail"))
-                      for label, d in zip(FACT_LABELS, details)])
-    return q.select("account_id", F.posexplode(facts).alias("pos", "f")).select(
+    return F.array(*[F.struct(F.lit(label).alias("label"), d.alias("detail"))
+                     for label, d in zip(FACT_LABELS, details)])
+
+
+def observed_facts(wh: Warehouse) -> DataFrame:
+    """Four label/detail facts per account, flattened in order."""
+    q = ws.queue_base(wh)
+    return q.select("account_id", F.posexplode(observed_fact_list()).alias("pos", "f")).select(
         "account_id", (F.col("pos") + 1).alias("position"), "f.label", "f.detail")

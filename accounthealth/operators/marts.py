@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from accounthealth.functions.cache import per_context
 from accounthealth.functions.money import money_sum
 
 SUMMARY_COLUMNS = [
@@ -75,6 +76,7 @@ def mart_account_summary(dim_acc: DataFrame, latest_sub: DataFrame, usage_daily:
     ])
 
 
+@per_context
 def health_score_expr() -> Column:
     """M5: clamp 0..100 of the additive health rule (terms in rule order)."""
     c = F.col
@@ -90,6 +92,7 @@ def health_score_expr() -> Column:
     return F.least(F.lit(100), F.greatest(F.lit(0), raw))
 
 
+@per_context
 def churn_risk_score_expr() -> Column:
     """M6: clamp 0..100 of inverted health plus billing, support, churn terms."""
     c = F.col
@@ -102,6 +105,7 @@ def churn_risk_score_expr() -> Column:
     return F.least(F.lit(100), F.greatest(F.lit(0), raw))
 
 
+@per_context
 def churn_risk_band_expr() -> Column:
     """M7: band from lifecycle and 100 - health (not from the risk score)."""
     inverse = F.lit(100) - F.col("health_score")

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from accounthealth.functions.cache import per_context
 from accounthealth.functions.median import grouped_median
 from accounthealth.functions.money import exact_avg, money_sum, score_avg
 from accounthealth.functions.topk import nest_records, ranked_records
@@ -93,6 +94,7 @@ def _reason(spec: tuple[str, str, str, str], detail: Column | None = None) -> Co
                     (detail if detail is not None else F.lit(text)).alias("detail"))
 
 
+@per_context
 def attention_reasons() -> Column:
     """Ordered rules, at most four; fallbacks only when none fired."""
     c = F.col
