@@ -15,3 +15,11 @@ def test_configure_sets_adaptive_execution(spark):
     assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
     assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+
+
+def test_column_builders_are_reused_within_a_session(spark):
+    from accounthealth.operators import explorer, marts, workspace
+
+    assert workspace.attention_reasons() is workspace.attention_reasons()
+    assert marts.health_score_expr() is marts.health_score_expr()
+    assert explorer.brief_text() is explorer.brief_text()
