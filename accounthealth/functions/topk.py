@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from accounthealth.functions.cache import per_context
+
 
 def record_order(columns: list[str], key: str, date_column: str | None) -> list[Column]:
     order: list[Column] = []
@@ -41,7 +43,12 @@ def nest_records(ranked: DataFrame, key: str = "account_id", name: str = "record
 
     Lists are bounded by the limit (or by one row per month for trends), so
     each collected group is small."""
-    cols = [c for c in ranked.columns if c != "rn"]
+    cols = tuple(c for c in ranked.columns if c != "rn")
+    return ranked.groupBy(key).agg(_packed_records(cols).alias(name))
+
+
+@per_context
+def _packed_records(cols: tuple[str, ...]) -> Column:
+    """Rows of a group as an array of structs, in ``rn`` order."""
     packed = F.sort_array(F.collect_list(F.struct(F.col("rn"), *[F.col(c) for c in cols])))
-    return ranked.groupBy(key).agg(
-        F.transform(packed, lambda r: F.struct(*[r[c].alias(c) for c in cols])).alias(name))
+    return F.transform(packed, lambda r: F.struct(*[r[c].alias(c) for c in cols]))
