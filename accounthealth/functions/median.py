@@ -14,8 +14,8 @@ all its distinct values there. Here the median is found by narrowing:
    values.
 
 The result is exact and interpolated like ``median``: the mean of the two
-middle values (equal for an odd count). Null values are ignored and a null
-group is a group, as in ``groupBy``.
+middle values (equal for an odd count). Null and NaN values are ignored (as
+pandas' median does) and a null group is a group, as in ``groupBy``.
 
 Buckets split a group's value range evenly, so a task holds about
 1/``buckets`` of a group's distinct values. The worst case is distinct values
@@ -36,7 +36,7 @@ def grouped_median(df: DataFrame, group: str, value: str, name: str,
     """One row per ``group`` with the exact median of ``value`` as ``name``."""
     g, v = "_g", "_v"
     counts = (df.select(F.col(group).alias(g), F.col(value).cast("double").alias(v))
-              .filter(F.col(v).isNotNull())
+              .filter(F.col(v).isNotNull() & ~F.isnan(F.col(v)))
               .groupBy(g, v).agg(F.count(F.lit(1)).alias("_n")))
 
     stats = counts.groupBy(g).agg(

@@ -17,7 +17,7 @@ def _fixture():
             rows.append((g, 3.0 if g == "same" else rnd.uniform(-5, 5)))
     for i in range(6):
         rows.append((None, float(i)))           # the null group is a group
-    rows += [("odd", None), ("nulls_only", None)]
+    rows += [("odd", None), ("nulls_only", None), ("even", float("nan"))]
     for i in range(6000):                      # a wide group: many distinct values
         rows.append(("wide", rnd.random() ** 3 * 1000))
     return rows
