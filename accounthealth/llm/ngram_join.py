@@ -151,7 +151,7 @@ def long_list_marks(texts: DataFrame, bits: int, size: int) -> np.ndarray:
                     [pa.array(full, pa.int64()), pa.array(blobs, pa.binary())],
                     names=["bucket", "blob"])
 
-    def long_ones(bucket, frame: pd.DataFrame) -> pd.DataFrame:
+    def long_ones(bucket: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         low = np.sort(np.concatenate([np.frombuffer(b, np.uint32) for b in frame["blob"]]))
         at = np.flatnonzero(np.r_[True, low[1:] != low[:-1]])
         held = np.diff(np.r_[at, len(low)])
@@ -259,7 +259,7 @@ def _pairs_of_bucket(bucket: int, blobs, marks: np.ndarray, bits: int, percent:
 
 def candidate_edges(dealt: DataFrame, marks, bits: int, percent: int) -> DataFrame:
     """``a, b``: class pairs that may link, and the chains of the long lists."""
-    def pairs(bucket, frame: pd.DataFrame) -> pd.DataFrame:
+    def pairs(bucket: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         return _pairs_of_bucket(int(bucket[0]), frame["blob"], marks.value, bits, percent)
 
     found = dealt.groupBy("bucket").applyInPandas(
@@ -296,9 +296,10 @@ def search(keys: list[int], sets: list[np.ndarray], left: np.ndarray, right: np.
     names, edges = token[at], np.r_[at, len(token)]
     links = []
     for q in np.flatnonzero(left):
-        where = np.searchsorted(names, sets[q])
-        where = where[where < len(names)] if len(names) else where[:0]
-        where = where[np.isin(names[where], sets[q], assume_unique=False)]
+        if not len(names):
+            break
+        where = np.minimum(np.searchsorted(names, sets[q]), len(names) - 1)
+        where = where[names[where] == sets[q]]
         size = edges[where + 1] - edges[where]
         where = where[np.argsort(size, kind="stable")]
         aside = min(int(_needed(n[q], percent)) - 1, len(where))
@@ -361,7 +362,7 @@ def spanning_links(members: DataFrame, sets: DataFrame, size: int, percent: int)
         (F.col("shards") > 1).alias("cut"))
     work = tasks.join(sets, ["id", "k1"])
 
-    def find(key, frame: pd.DataFrame) -> pd.DataFrame:
+    def find(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.drop_duplicates("k1").sort_values("k1")
         values = [np.frombuffer(v, np.uint64) for v in frame["values"]]
         shard = frame["shard"].to_numpy()

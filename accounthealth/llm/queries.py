@@ -2,14 +2,30 @@
 
 from __future__ import annotations
 
-from accounthealth.llm import exact_dedup, mixing, ngram_join, sharding, toxicity
+from accounthealth.llm import (
+    exact_dedup,
+    mixing,
+    multi_index,
+    ngram_join,
+    packing,
+    sentencepieces,
+    sharding,
+    substring_fm,
+    toxicity,
+    warc,
+)
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
     "op2_sharding": sharding.op2_sharding,
+    "op3_sentencepiece": sentencepieces.op3_sentencepiece,
+    "op4_warc": warc.op4_warc,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
+    "op6_multi_index": multi_index.op6_multi_index,
+    "op7_token_packing": packing.op7_token_packing,
     "op8_mixing": mixing.op8_mixing,
     "op9_ngram_join": ngram_join.op9_ngram_join,
+    "op10_substring_dedup": substring_fm.op10_substring_dedup,
 }
 
 SQL = {
