@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from functools import wraps
 
-from pyspark import SparkContext
+from pyspark.sql import SparkSession
 
 
 def per_context(fn):
@@ -19,7 +19,8 @@ def per_context(fn):
 
     @wraps(fn)
     def wrapper(*args):
-        context = SparkContext._active_spark_context
+        session = SparkSession.getActiveSession()
+        context = session and session.sparkContext
         if context is not state["context"]:
             state["context"], state["built"] = context, {}
         if args not in state["built"]:

@@ -65,10 +65,11 @@ def js_currency(x: Column, digits: int = 0) -> Column:
 def title_case(x: Column) -> Column:
     """Underscores to spaces, each word capitalised; empty reads as a dash.
 
-    Enumerations are lower case, where ``initcap`` agrees with capitalising
-    only each word's first letter."""
-    return F.when(x.isNull() | (x == ""), F.lit(DASH)).otherwise(
-        F.initcap(F.regexp_replace(x, "_", " ")))
+    Only first letters change: ``SMB`` stays ``SMB``."""
+    words = F.split(F.replace(x, F.lit("_"), F.lit(" ")), " ")
+    raised = F.transform(words, lambda w: F.concat(
+        F.upper(F.substring(w, 1, 1)), F.substring(w, 2, 1 << 30)))
+    return F.when(x.isNull() | (x == ""), F.lit(DASH)).otherwise(F.array_join(raised, " "))
 
 
 def risk_label(band: Column) -> Column:

@@ -48,6 +48,12 @@ def publish(wh: Warehouse, out: str, buckets: int | None = None,
     _json(reports.kpis(scored), f"{out}/readout/kpis")
     _json(reports.top_risk(scored), f"{out}/readout/top_risk")
     _json(reports.retention_listing(wh.table("mart_revenue_retention")), f"{out}/readout/retention")
+    _json(reports.health_by_segment(scored), f"{out}/readout/health_by_segment")
+    _json(reports.churn_histogram(scored), f"{out}/readout/churn_histogram")
+    _json(reports.retention_series(wh.table("mart_revenue_retention")),
+          f"{out}/readout/retention_series")
+    _json(reports.adoption_top(wh.table("mart_product_adoption")), f"{out}/readout/adoption_top")
+    _json(ws.json_safe(ws.ordered_queue(wh)), f"{out}/workspace/queue")
     _json(ws.summary_document(wh, audit).coalesce(1), f"{out}/workspace/summary")
     sinks.write_account_details(ws.account_detail(wh), f"{out}/workspace/accounts")
     sinks.write_queue_csv(explorer.export_rows(wh), f"{out}/queue_export")

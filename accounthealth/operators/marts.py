@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from accounthealth.functions.cache import per_context
-from accounthealth.functions.money import money_sum
+from accounthealth.functions.money import exact_avg, money_sum
 
 SUMMARY_COLUMNS = [
     "account_id", "account_name", "industry", "region", "segment", "lifecycle_stage",
@@ -48,7 +48,7 @@ def support_by_account(tickets: DataFrame) -> DataFrame:
     return tickets.groupBy("account_id").agg(
         F.count(F.lit(1)).alias("support_tickets"),
         F.sum("is_high_priority").alias("high_priority_tickets"),
-        (money_sum(hours) / F.count(hours)).alias("avg_resolved_hours"),
+        exact_avg(hours).alias("avg_resolved_hours"),
     )
 
 

@@ -11,11 +11,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from accounthealth.functions.cache import per_context
 from accounthealth.functions.median import grouped_median
 from accounthealth.functions.money import exact_avg, money_sum, score_avg
 from accounthealth.functions.topk import nest_records, ranked_records
+from accounthealth.operators.marts import usage_by_account
 from accounthealth.plans.warehouse import Warehouse
 
 QUEUE_COLUMNS = [
@@ -76,15 +78,9 @@ def segment_median(queue_base: DataFrame, value: str = "avg_daily_features",
 
 # --- W1, W3-W5: the queue ---------------------------------------------------
 
-def queue_base(wh: Warehouse, shared: bool = False) -> DataFrame:
-    """Health joined to risk (rows with an id), 19 columns.
-
-    ``shared``: the caller reads the queue twice (rows and their segment
-    medians), so the scored accounts are computed once (checkpointed unless
-    the health mart is already a written table)."""
-    scored = (wh.checkpointed("scored_accounts", "mart_customer_health") if shared
-              else wh.table("scored_accounts"))
-    return scored.filter(F.col("account_id").isNotNull()).select(*QUEUE_COLUMNS)
+def queue_base(wh: Warehouse) -> DataFrame:
+    """Health joined to risk (rows with an id), 19 columns."""
+    return wh.table("scored_accounts").filter(F.col("account_id").isNotNull()).select(*QUEUE_COLUMNS)
 
 
 def _reason(spec: tuple[str, str, str, str], detail: Column | None = None) -> Column:
@@ -94,6 +90,21 @@ def _reason(spec: tuple[str, str, str, str], detail: Column | None = None) -> Co
                     (detail if detail is not None else F.lit(text)).alias("detail"))
 
 
+def feature_variety(wh: Warehouse) -> DataFrame:
+    """``account_id, segment, avg_daily_features`` of the queue's accounts, from
+    the usage aggregate and the accounts alone: the medians need none of the
+    other facts, and share the usage exchanges with the queue rows."""
+    if wh.is_bound("mart_account_summary"):
+        rows = wh.table("mart_account_summary").select("account_id", "segment",
+                                                       "avg_daily_features")
+    else:
+        usage = usage_by_account(wh.table("fct_product_usage_daily"))
+        rows = wh.table("dim_accounts").join(usage, "account_id", "left").select(
+            "account_id", "segment",
+            F.coalesce("avg_daily_features", F.lit(0.0)).alias("avg_daily_features"))
+    return rows.filter(F.col("account_id").isNotNull())
+
+
 @per_context
 def attention_reasons() -> Column:
     """Ordered rules, at most four; fallbacks only when none fired."""
@@ -135,8 +146,8 @@ def attention_queue(wh: Warehouse) -> DataFrame:
     per segment; AQE measures them and broadcasts, so the queue is not
     shuffled for this join.
     """
-    base = queue_base(wh, shared=True)
-    medians = segment_median(base, name="_median").withColumnRenamed("segment", "_median_segment")
+    base = queue_base(wh)
+    medians = segment_median(feature_variety(wh), name="_median").withColumnRenamed("segment", "_median_segment")
     segment = F.col("segment")
     reasons = attention_reasons()
     return (
@@ -310,7 +321,7 @@ def summary_document(wh: Warehouse, audit: DataFrame) -> DataFrame:
     rows = sections[0]
     for sec in sections[1:]:
         rows = rows.unionByName(sec, allowMissingColumns=True)
-    return rows.agg(*[F.first(n, ignorenulls=True).alias(n) for n in names])
+    return json_safe(rows.agg(*[F.first(n, ignorenulls=True).alias(n) for n in names]))
 
 
 # --- W22: source coverage ------------------------------------------------------
@@ -333,22 +344,37 @@ def source_coverage(wh: Warehouse) -> DataFrame:
 
 # --- W23/W24: per-account detail ---------------------------------------------
 
+def _safe_value(c: Column, kind: T.DataType) -> Column | None:
+    """``c`` with NaN and infinities as null at any depth; None if it holds no doubles."""
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        bad = F.isnan(c) | (F.abs(c) == float("inf"))
+        return F.when(~bad, c)
+    if isinstance(kind, T.ArrayType):
+        if _safe_value(c, kind.elementType) is None:
+            return None
+        return F.transform(c, lambda x: _safe_value(x, kind.elementType))
+    if isinstance(kind, T.StructType):
+        parts = {f.name: _safe_value(c.getField(f.name), f.dataType) for f in kind.fields}
+        if all(p is None for p in parts.values()):
+            return None
+        whole = F.struct(*[(c.getField(n) if p is None else p).alias(n) for n, p in parts.items()])
+        return F.when(c.isNotNull(), whole)
+    return None
+
+
 def json_safe(df: DataFrame) -> DataFrame:
-    """NaN and infinities become null in every double column."""
+    """NaN and infinities become null in every double, nested ones too."""
     cols = []
     for field in df.schema.fields:
-        c = F.col(field.name)
-        if field.dataType.typeName() == "double":
-            bad = F.isnan(c) | (c == float("inf")) | (c == float("-inf"))
-            c = F.when(bad, F.lit(None).cast("double")).otherwise(c)
-        cols.append(c.alias(field.name))
+        safe = _safe_value(F.col(field.name), field.dataType)
+        cols.append((F.col(field.name) if safe is None else safe).alias(field.name))
     return df.select(*cols)
 
 
 def account_detail(wh: Warehouse) -> DataFrame:
     """One row per queue account with its record lists, trends and
     adoption (missing lists are empty arrays)."""
-    queue = json_safe(attention_queue(wh).drop(*MEDIAN_COLUMNS))
+    queue = attention_queue(wh).drop(*MEDIAN_COLUMNS)
     detail = queue.select("account_id", F.struct(*queue.columns).alias("account"))
     nested = {}
     for name in RECORD_LISTS:
@@ -358,7 +384,7 @@ def account_detail(wh: Warehouse) -> DataFrame:
     def lst(name: str) -> Column:
         return F.coalesce(F.col(name), F.array())
 
-    return detail.select(
+    return json_safe(detail.select(
         "account_id", "account",
         F.struct(lst("crm").alias("crm"), lst("customer").alias("customer"),
                  lst("invoices").alias("invoices"), lst("support").alias("support"),
@@ -367,7 +393,7 @@ def account_detail(wh: Warehouse) -> DataFrame:
         F.struct(lst("usage").alias("usage"), lst("revenue").alias("revenue"),
                  lst("support_trend").alias("support")).alias("trends"),
         lst("adoption").alias("adoption"),
-    )
+    ))
 
 
 DETAIL_LISTS = {
@@ -383,3 +409,32 @@ def account_detail_sizes(detail: DataFrame) -> DataFrame:
     """W23 flattened: list lengths per account (for comparison)."""
     return detail.select("account_id", *[F.size(F.col(path)).alias(name)
                                          for name, path in DETAIL_LISTS.items()])
+
+
+# list -> (its identifying field, a measure); read from the nested document.
+DETAIL_FIELDS = {
+    "crm": ("records.crm", "account_id", "company_size"),
+    "customer": ("records.customer", "customer_id", "company_size"),
+    "invoices": ("records.invoices", "invoice_id", "amount"),
+    "support": ("records.support", "ticket_id", "resolved_hours"),
+    "product": ("records.product", "event_id", None),
+    "opportunities": ("records.opportunities", "opportunity_id", "amount"),
+    "usage": ("trends.usage", "month", "average_features"),
+    "revenue": ("trends.revenue", "month", "recognized_revenue"),
+    "support_trend": ("trends.support", "month", "average_resolved_hours"),
+    "adoption": ("adoption", "event_name", "events"),
+}
+
+
+def account_detail_records(detail: DataFrame) -> DataFrame:
+    """W23 flattened: one row per account, list and position with the record's
+    identifying field and a measure."""
+    def entries(name: str) -> Column:
+        path, key, measure = DETAIL_FIELDS[name]
+        return F.transform(F.col(path), lambda r, i: F.struct(
+            F.lit(name).alias("list"), (i + 1).cast("int").alias("position"),
+            r[key].cast("string").alias("item"),
+            (r[measure].cast("double") if measure else F.lit(None).cast("double")).alias("value")))
+
+    every = F.flatten(F.array(*[entries(n) for n in DETAIL_FIELDS]))
+    return detail.select("account_id", F.explode(every).alias("e")).select("account_id", "e.*")

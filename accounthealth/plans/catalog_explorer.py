@@ -68,13 +68,20 @@ def app_queue_filter(wh):
     return ex.explore(wh, **FILTER).select(*_LIST_COLUMNS)
 
 
+_SORT_COLUMNS = ["account_id", "churn_risk_score", "recognized_revenue", "health_score",
+                 "high_priority_tickets"]
+
+
 def _sort_query(mode: str):
-    register(f"app_sort_{mode}", _viewer(
-        "SELECT account_id, churn_risk_score, recognized_revenue, health_score, "
-        "high_priority_tickets FROM viewer"))(
-        lambda wh: ex.explore(wh, sort=mode).select(
-            "account_id", "churn_risk_score", "recognized_revenue", "health_score",
-            "high_priority_tickets"))
+    """A3: the first pages in the mode's order, each row with its position."""
+    register(f"app_sort_{mode}", _viewer(f"""
+SELECT {', '.join(_SORT_COLUMNS)},
+       CAST(row_number() OVER (ORDER BY {_SORT_SQL[mode]}, {_QUEUE_ORDER_SQL}) AS INTEGER)
+           AS rank
+FROM viewer
+ORDER BY rank
+LIMIT {ex.PAGE_SIZE * PAGES}
+"""))(lambda wh: ex.page(wh, pages=PAGES, sort=mode).select(*_SORT_COLUMNS, "rank"))
 
 
 for _mode in ex.SORT_MODES:

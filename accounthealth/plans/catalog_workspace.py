@@ -194,7 +194,7 @@ revenue_trend AS (
 support_trend AS (
     SELECT account_id, strftime(ticket_date, '%Y-%m') AS month, count(*) AS tickets,
            CAST(sum(is_high_priority) AS BIGINT) AS high_priority_tickets,
-           {msum('resolved_hours')} / count(resolved_hours) AS average_resolved_hours
+           {savg('resolved_hours')} AS average_resolved_hours
     FROM fct_support_tickets GROUP BY 1, 2
 ),
 account_adoption AS (
@@ -302,3 +302,22 @@ GROUP BY h.account_id
 def ws_account_detail(wh):
     """W23 flattened to list sizes; the nested document goes to the JSON sink."""
     return ws.account_detail_sizes(ws.account_detail(wh))
+
+
+def _records_sql() -> str:
+    parts = []
+    for name, source, order, limit in _LISTS.values():
+        _, item, measure = ws.DETAIL_FIELDS[name]
+        value = f"CAST({measure} AS DOUBLE)" if measure else "CAST(NULL AS DOUBLE)"
+        parts.append(f"SELECT account_id, '{name}' AS list, rn AS position, "
+                     f"CAST({item} AS VARCHAR) AS item, {value} AS value "
+                     f"FROM ({_ranked_sql(source, order, limit)})")
+    rows = "\nUNION ALL\n".join(parts)
+    return (f"{_TRENDS_SQL.strip()}\nSELECT r.* FROM ({rows}) r "
+            "JOIN health_risk h ON r.account_id = h.account_id")
+
+
+@register("ws_account_records", _records_sql())
+def ws_account_records(wh):
+    """W23 contents: every record of every nested list, at its position."""
+    return ws.account_detail_records(ws.account_detail(wh))

@@ -81,7 +81,6 @@ class Warehouse:
         self.sources = sources
         self._tables: dict[str, DataFrame] = {}
         self._bound: set[str] = set()
-        self._checkpoints: dict[str, DataFrame] = {}
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str) -> "Warehouse":
@@ -116,26 +115,15 @@ class Warehouse:
         return self._tables[name]
 
     def bind(self, name: str, df: DataFrame) -> None:
-        """Replace a model by an equivalent frame (e.g. its written table)."""
-        self._tables[name] = df
+        """Replace a model by an equivalent frame (e.g. its written table).
+
+        Models that were built lazily before are forgotten, so those that read
+        ``name`` are built again on the bound frame."""
         self._bound.add(name)
+        self._tables = {k: v for k, v in self._tables.items() if k in self._bound} | {name: df}
 
-    def checkpointed(self, name: str, upstream: str) -> DataFrame:
-        """``table(name)`` for a frame that one query reads twice.
-
-        When ``upstream`` is bound to a written table the frame is cheap to
-        read twice and is returned as is. Otherwise it is computed once and
-        checkpointed (reliably, into the cluster's ``spark.checkpoint.dir``),
-        so both reads share one computation and the lineage is cut there.
-        """
-        if upstream in self._bound:
-            return self.table(name)
-        if name not in self._checkpoints:
-            from accounthealth.session import ensure_checkpoint_dir
-
-            ensure_checkpoint_dir(self.spark)
-            self._checkpoints[name] = self.table(name).checkpoint(eager=True)
-        return self._checkpoints[name]
+    def is_bound(self, name: str) -> bool:
+        return name in self._bound
 
     def manifest(self, names: list[str] | None = None) -> DataFrame:
         """(layer, table, rows) for the requested models, ordered by name."""

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -16,6 +17,9 @@ SQL_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # an aggregate or window on the join key stands above the join: split a hot
+    # key all the same, at the price of one more exchange
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
 }
 
@@ -57,16 +61,24 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder on the storage all executors share."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/scratch-{uuid.uuid4().hex}"
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder, setting a private one only where unset.
 
-    A configured cluster value is always kept; the fallback exists for local
-    tests, where the driver and executors share one machine.
+    A configured cluster value is always kept; the fallback exists for a local
+    master alone, where the driver and executors share one machine.
     """
     sc = spark.sparkContext
     if sc.getCheckpointDir():
         return sc.getCheckpointDir()
-    folder = sc.getConf().get("spark.checkpoint.dir", None) or \
-        tempfile.mkdtemp(prefix="accounthealth-ckpt-")
+    folder = sc.getConf().get("spark.checkpoint.dir", None)
+    if not folder:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="accounthealth-ckpt-")
     sc.setCheckpointDir(folder)
     return sc.getCheckpointDir()

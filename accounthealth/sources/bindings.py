@@ -35,6 +35,7 @@ USER_ROLES = ["admin", "member", "viewer"]
 TICKET_CATEGORIES = ["billing", "bug", "how_to", "integration"]
 PRIORITIES = {"1-URGENT": "urgent", "2-HIGH": "high", "3-MEDIUM": "medium"}
 OTHER_PRIORITY = "low"
+TICKET_STATUS = "P"
 OPPORTUNITY_STAGES = ["prospecting", "qualified", "proposal", "closed_won", "closed_lost"]
 CONTACT_ROLES = ["admin", "buyer", "user", "executive"]
 LEAD_SOURCES = ["webinar", "paid_search", "organic", "event", "partner"]
@@ -81,21 +82,21 @@ def _distinct_accounts(t: DriverTables) -> DataFrame:
     return t.memo("_distinct_accounts", lambda: _build_distinct_accounts(t))
 
 
-def _build_distinct_accounts(t: DriverTables) -> DataFrame:
-    customer = t.table("customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
-    nation = t.table("nation").select("n_nationkey", "n_regionkey")
-    region = t.table("region").select("r_regionkey", "r_name")
+def _customers(t: DriverTables) -> DataFrame:
+    """What the customer table alone says of an account (no join)."""
+    return t.memo("_customers", lambda: _build_customers(t))
+
+
+def _build_customers(t: DriverTables) -> DataFrame:
     k = F.col("c_custkey")
     seg_hash = (k * 7919) % 97
     life_hash = (k * 104729) % 89
     return (
-        customer.join(nation, customer.c_nationkey == nation.n_nationkey)
-        .join(region, nation.n_regionkey == region.r_regionkey)
-        .select(
+        t.table("customer").select(
             k.cast("bigint").alias("account_id"),
             F.col("c_name").alias("account_name"),
             F.col("c_mktsegment").alias("industry"),
-            F.col("r_name").alias("region"),
+            F.col("c_nationkey"),
             F.when(seg_hash < 41, SEGMENTS[0]).when(seg_hash < 78, SEGMENTS[1])
             .otherwise(SEGMENTS[2]).alias("segment"),
             F.when(life_hash < 11, LIFECYCLES[0]).when(life_hash < 23, LIFECYCLES[1])
@@ -108,9 +109,22 @@ def _build_distinct_accounts(t: DriverTables) -> DataFrame:
     )
 
 
+def _build_distinct_accounts(t: DriverTables) -> DataFrame:
+    nation = t.table("nation").select("n_nationkey", "n_regionkey")
+    region = t.table("region").select("r_regionkey", F.col("r_name").alias("region"))
+    customers = _customers(t)
+    joined = (customers.join(nation, customers.c_nationkey == nation.n_nationkey)
+              .join(region, nation.n_regionkey == region.r_regionkey))
+    return joined.select("account_id", "account_name", "industry", "region", "segment",
+                         "lifecycle_stage", "company_size", "created_at")
+
+
 def crm_accounts(t: DriverTables) -> DataFrame:
+    """One row per account; every hundredth comes twice, from one scan."""
+    copies = F.when(F.col("account_id") % 100 == 7, 2).otherwise(1)
     base = _distinct_accounts(t)
-    return base.unionByName(base.filter(F.col("account_id") % 100 == 7))
+    return (base.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), copies)))
+            .select(*base.columns))
 
 
 def billing_subscriptions(t: DriverTables) -> DataFrame:
@@ -118,8 +132,7 @@ def billing_subscriptions(t: DriverTables) -> DataFrame:
 
 
 def _build_subscriptions(t: DriverTables) -> DataFrame:
-    acc = _distinct_accounts(t).filter(
-        F.col("lifecycle_stage").isin("customer", "churned"))
+    acc = _customers(t).filter(F.col("lifecycle_stage").isin("customer", "churned"))
     k = F.col("account_id").cast("bigint")
     churned = F.col("lifecycle_stage") == "churned"
     ended = (
@@ -150,7 +163,7 @@ def billing_invoices(t: DriverTables) -> DataFrame:
         F.col("account_id"),
         F.col("o_orderdate").cast("date").alias("invoice_date"),
         F.when(k % 200 == 11, F.lit(-25.0))
-        .otherwise(F.floor("o_totalprice") / 10).alias("amount"),
+        .otherwise(F.col("o_totalprice") / 10).alias("amount"),
         F.when(((k * 7919) % 101 < 4) | (k % 400 == 11), "failed")
         .otherwise("paid").alias("status"),
     )
@@ -166,22 +179,26 @@ def product_events(t: DriverTables) -> DataFrame:
         F.when(eid % 500 == 9, F.lit(None).cast("string"))
         .otherwise(_map(F.col("event_type"), EVENT_NAMES_BY_TYPE, OTHER_EVENT_NAME))
         .alias("event_name"),
-        F.col("ts").alias("event_at"),
+        # Events reach the source in batches, monthly for startups and half-monthly for
+        # others: a day holds several names, and segments differ in their variety.
+        F.when((F.dayofmonth("ts") > 15) & ((account * 7919) % 97 >= 41), F.expr(
+            "cast(date_trunc('month', ts) + interval 15 days as timestamp_ntz)"))
+        .otherwise(F.expr("cast(date_trunc('month', ts) as timestamp_ntz)")).alias("event_at"),
         _pick(eid % 3, USER_ROLES).alias("user_role"),
     )
 
 
 def support_tickets(t: DriverTables) -> DataFrame:
-    orders = t.table("orders").select(
-        "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+    """Orders in progress are tickets: a predicate the scan takes."""
+    orders = t.table("orders").filter(F.col("o_orderstatus") == TICKET_STATUS)
     k = F.col("o_orderkey")
-    return orders.filter((k * 31) % 7 == 0).select(
+    return orders.select(
         k.cast("bigint").alias("ticket_id"),
         F.col("o_custkey").cast("bigint").alias("account_id"),
         F.col("o_orderdate").alias("created_at"),
         _pick(k % 4, TICKET_CATEGORIES).alias("category"),
         _map(F.col("o_orderpriority"), PRIORITIES, OTHER_PRIORITY).alias("priority"),
-        ((10 + (k * 13) % 600).cast("double") / 10).alias("resolved_hours"),
+        ((1000 + (k * 1009) % 60000).cast("double") / 1000).alias("resolved_hours"),
     )
 
 
@@ -190,7 +207,7 @@ def crm_opportunities(t: DriverTables) -> DataFrame:
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
     k = F.col("o_orderkey")
     created = F.col("o_orderdate").cast("date")
-    return orders.filter((k * 37) % 11 == 0).select(
+    return orders.select(
         k.cast("bigint").alias("opportunity_id"),
         F.col("o_custkey").cast("bigint").alias("account_id"),
         _pick(k % 5, OPPORTUNITY_STAGES).alias("stage"),
@@ -201,29 +218,23 @@ def crm_opportunities(t: DriverTables) -> DataFrame:
 
 
 def crm_contacts(t: DriverTables) -> DataFrame:
-    # Both sides are filtered on the order key before the distinct and the
-    # join, so the lineitem scan ships only the qualifying (key, line) pairs.
-    items = (
-        t.table("lineitem").select("l_orderkey", "l_linenumber")
-        .filter((F.col("l_linenumber") <= 2) & (F.col("l_orderkey") % 6 == 0))
-        .distinct()
-    )
-    orders = (t.table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
-              .filter(F.col("o_orderkey") % 6 == 0))
+    """Every distinct order line is a contact of the order's account."""
+    items = t.table("lineitem").select("l_orderkey", "l_linenumber").distinct()
+    orders = t.table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
     ok, ln = F.col("l_orderkey"), F.col("l_linenumber")
     return items.join(orders, items.l_orderkey == orders.o_orderkey).select(
         (ok * 10 + ln).cast("bigint").alias("contact_id"),
         F.col("o_custkey").cast("bigint").alias("account_id"),
         _pick((ok + ln) % 4, CONTACT_ROLES).alias("role"),
-        (ok % 12 == 0).alias("is_primary"),
+        (ln == 1).alias("is_primary"),
         F.col("o_orderdate").cast("date").alias("created_at"),
     )
 
 
 def marketing_leads(t: DriverTables) -> DataFrame:
-    acc = _distinct_accounts(t)
+    acc = _customers(t)
     k = F.col("account_id").cast("bigint")
-    return acc.filter((k * 3) % 20 < 11).select(
+    return acc.select(
         F.col("account_id").alias("lead_id"),
         F.col("account_id"),
         _pick(k % 5, LEAD_SOURCES).alias("source"),

@@ -75,6 +75,7 @@ DRIVER_TABLES: dict[str, T.StructType] = {
                             T.StructField("r_name", T.StringType())]),
     "orders": T.StructType([T.StructField("o_orderkey", T.LongType()),
                             T.StructField("o_custkey", T.LongType()),
+                            T.StructField("o_orderstatus", T.StringType()),
                             T.StructField("o_totalprice", T.DoubleType()),
                             T.StructField("o_orderdate", T.TimestampNTZType()),
                             T.StructField("o_orderpriority", T.StringType())]),

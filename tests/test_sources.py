@@ -14,17 +14,17 @@ def test_binding_counts_sf0001(wh_small):
     assert counts["billing_subscriptions"] == 111
     assert counts["billing_invoices"] == 1092
     assert counts["product_events"] == 1000
-    assert counts["support_tickets"] == 215
-    assert counts["crm_opportunities"] == 137
-    assert counts["crm_contacts"] == 212
-    assert counts["marketing_leads"] == 84
+    assert counts["support_tickets"] == 493
+    assert counts["crm_opportunities"] == 1500
+    assert counts["crm_contacts"] == 4599
+    assert counts["marketing_leads"] == 150
 
 
 def test_binding_counts_sf001(wh_mid):
     assert wh_mid.raw("crm_accounts").count() == 1515
     assert wh_mid.raw("billing_invoices").count() == 11030
-    assert wh_mid.raw("crm_contacts").count() == 2174
-    assert wh_mid.raw("marketing_leads").count() == 825
+    assert wh_mid.raw("crm_contacts").count() == 45832
+    assert wh_mid.raw("marketing_leads").count() == 1500
 
 
 def test_source_columns_follow_contract(wh_small):
