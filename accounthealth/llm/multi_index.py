@@ -38,7 +38,7 @@ SAMPLE = 20_000
 MAX_CENTROIDS = 1024
 ROUNDS = 12
 UNIT = 2000
-TASK_VECTORS = 20_000
+TASK_VECTORS = 5000
 
 
 def valid_vectors(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -142,8 +142,7 @@ def neighbours(df: DataFrame, queries: DataFrame, id_col: str = "vec_id",
     held = np.zeros(len(books[0]) * width, np.int64)
     held[counts.column("cell").to_numpy()] = counts.column("count").to_numpy()
     cells = spark.sparkContext.broadcast(held)
-    tasks = max(1, -(-total // TASK_VECTORS),
-                int(spark.conf.get("spark.sql.shuffle.partitions")))
+    tasks = max(1, -(-total // TASK_VECTORS))
 
     def unit_task(cell, sub):  # which task holds a unit
         return (cell * 1_000_003 + sub * 7_919) % tasks
