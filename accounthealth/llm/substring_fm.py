@@ -225,10 +225,10 @@ def repeated_intervals(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     """``rid, spans`` (word intervals to remove) for the texts that have any."""
     spark = texts.sparkSession
     found = _piece_rows(texts.select("rid", "text"), length)
-    # One exchange by minimiser: count, and drop what cannot repeat.
-    counted = found.repartition("mini")
-    shared = counted.groupBy("mini").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    held = staged(counted.join(shared.hint("shuffle_hash"), "mini").drop("n"), "pieces")
+    # Counted before the exchange, so a hot minimiser is one row a task; the join that
+    # drops what cannot repeat is one whose hot partitions Spark splits.
+    shared = found.groupBy("mini").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    held = staged(found.join(shared, "mini").drop("n"), "pieces")
     contents = staged(held.groupBy("mini", "d1", "d2", "windows").agg(
         F.count(F.lit(1)).alias("copies"),
         F.min(F.struct("rid", "start")).alias("at")), "contents")
