@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 4 << 20  # bytes of text worked on at once (a longer text alone)
+CHUNK_BYTES = (4 << 20) - (1 << 16)  # bytes of text worked on at once (a longer text alone)
 
 _STEP = np.uint64(0x9E3779B97F4A7C15 | 5)  # odd; odd powers are invertible mod 2**64
 _MIX_1, _MIX_2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -114,7 +114,7 @@ def span_values(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     """Values of the byte spans ``start:end``, equal for equal bytes."""
     if not len(start):
         return np.zeros(0, np.uint64)
-    size = 1 << max(16, int(len(data)).bit_length())
+    size = 1 << max(16, (len(data) - 1).bit_length())
     power, inverse = _powers(size)
     total = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum(BYTE_VALUES[data] * power[:len(data)], out=total[1:])

@@ -39,7 +39,8 @@ UNITS, WORD_DIMS = 8, 4
 GRAM_BITS = 18
 WORD_ROWS, GRAM_ROWS = 1 << 15, 1 << GRAM_BITS
 GRAMS = (4, 5)
-MAX_POSITIVE, MAX_NEGATIVE = 1500, 3000
+MAX_POSITIVE, MAX_NEGATIVE = 1200, 3600
+TRAIN_BYTES = 1 << 20  # of text worked on at once while fitting
 THRESHOLD = 0.7
 BATCH = 128  # windows of a training step, half of them from toxic texts
 LANES = 1024  # windows that step together
@@ -250,13 +251,24 @@ class _Adam:
             params[k] -= (self.rate * fix * m / (np.sqrt(v) + 1e-8)).astype(np.float32)
 
 
-def _evidence(pairs: np.ndarray, label: np.ndarray, rows: int) -> np.ndarray:
-    """Shrunken log-odds of table rows; pairs: unique text * rows + row."""
-    text, row = pairs // rows, pairs % rows
-    bad = np.bincount(row[label[text] == 1], minlength=rows).astype(np.float64)
-    good = np.bincount(row[label[text] == 0], minlength=rows).astype(np.float64)
-    odds = np.log((bad + 1) / (good + 1) * (label == 0).sum() / (label == 1).sum())
-    return np.clip(odds * (bad + good) / (bad + good + 8), -2, 6).astype(np.float32)
+class _Evidence:
+    """Shrunken log-odds of table rows, counted over texts a chunk at a time."""
+
+    def __init__(self, rows: int, label: np.ndarray):
+        self.label, self.rows = label, rows
+        self.held = np.zeros((2, rows))  # texts of each class that hold a row
+
+    def add(self, text: np.ndarray, row: np.ndarray) -> None:
+        pairs = np.unique(text * self.rows + row)
+        text, row = pairs // self.rows, pairs % self.rows
+        for k in (0, 1):
+            self.held[k] += np.bincount(row[self.label[text] == k], minlength=self.rows)
+
+    def odds(self) -> np.ndarray:
+        good, bad = self.held
+        ratio = (self.label == 0).sum() / (self.label == 1).sum()
+        odds = np.log((bad + 1) / (good + 1) * ratio)
+        return np.clip(odds * (bad + good) / (bad + good + 8), -2, 6).astype(np.float32)
 
 
 def train(texts: list[str | None], labels: list[int], rounds: int = 4, steps: int = 100,
@@ -266,32 +278,34 @@ def train(texts: list[str | None], labels: list[int], rounds: int = 4, steps: in
     if not (label == 1).any() or not (label == 0).any():
         return None
     rng = np.random.default_rng(seed)
-    parts = list(chunks(pa.array(texts, pa.large_string())))
-    word_pairs, gram_pairs = [], [[] for _ in GRAMS]
-    for c in parts:
-        text = np.repeat(np.arange(c.rows) + c.row, np.diff(c.first))
-        word_pairs.append(np.unique(text * WORD_ROWS + word_rows(c)))
-        at = np.repeat(np.arange(c.rows) + c.row, np.diff(c.edges))
-        for k, rows in enumerate(gram_rows(c)):
-            gram_pairs[k].append(np.unique((at * GRAM_ROWS + rows)[rows < GRAM_ROWS]))
+    texts = pa.array(texts, pa.large_string())
+    by_word, by_gram = _Evidence(WORD_ROWS, label), [_Evidence(GRAM_ROWS, label) for _ in GRAMS]
+    total = 0
+    for c in chunks(texts, TRAIN_BYTES):
+        total += len(c.start)
+        by_word.add(np.repeat(np.arange(c.rows) + c.row, np.diff(c.first)), word_rows(c))
+        for evidence, rows in zip(by_gram, gram_rows(c), strict=True):
+            at = np.flatnonzero(rows < GRAM_ROWS)
+            text = c.row + np.searchsorted(c.edges, at, side="right") - 1
+            evidence.add(text, rows[at].astype(np.int64))
+    if not total:
+        return None
     words = rng.normal(0, 0.05, (WORD_ROWS, WORD_DIMS)).astype(np.float32)
-    words[:, 0] = _evidence(np.concatenate(word_pairs), label, WORD_ROWS)
-    model = Model(words, [np.append(_evidence(np.concatenate(g), label, GRAM_ROWS), np.float32(-1e9))
-                           for g in gram_pairs],
+    words[:, 0] = by_word.odds()
+    model = Model(words, [np.append(g.odds(), np.float32(-1e9)) for g in by_gram],
                   start_params(rng))
-    # As all windows of all sampled texts fit in memory, inputs are built once.
-    rows, starts, lengths, owners, inputs, base = [], [], [], [], [], 0
-    for c in parts:
+    # The words of all sampled texts fit in memory, so inputs are built once.
+    rows = np.empty(total, np.int32)
+    x = np.zeros((total + 1, WORD_DIMS + len(GRAMS)), np.float32)
+    starts, lengths, owners, base = [], [], [], 0
+    for c in chunks(texts, TRAIN_BYTES):
         s, n, t = window_starts(c.first)
-        rows.append(word_rows(c))
-        inputs.append(features(model, c)[:-1])
+        stop = base + len(c.start)
+        rows[base:stop] = word_rows(c)
+        x[base:stop] = features(model, c)[:-1]
         starts.append(s + base), lengths.append(n), owners.append(t + c.row)
-        base += len(c.start)
-    rows = np.concatenate(rows)
-    x = np.concatenate([*inputs, np.zeros((1, inputs[0].shape[1]), np.float32)])
+        base = stop
     start, length, owner = map(np.concatenate, (starts, lengths, owners))
-    if not len(start):
-        return None
     strong = x[:, 0] + x[:, WORD_DIMS:].max(axis=1)
     adam, slow = _Adam(0.01), 0.02
     for turn in range(rounds):
