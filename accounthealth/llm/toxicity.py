@@ -23,6 +23,7 @@ the sample lacks one of the classes every score is 0.
 from __future__ import annotations
 
 import math
+import pickle
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -370,9 +371,19 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_
 
 
 def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, **bounds) -> Model | None:
-    rows = labelled_sample(docs, labels, **bounds).toArrow().to_pydict()
-    order = sorted(range(len(rows["doc_id"])), key=lambda k: (rows["doc_id"][k], rows["text"][k] or ""))
-    return train([rows["text"][k] for k in order], [rows["toxic"][k] for k in order])
+    """Fits in one task, as the sample is bounded; the model, of fixed size, comes back."""
+    def run(batches):
+        rows = [r for batch in batches for r in zip(
+            *(batch.column(k).to_pylist() for k in ("doc_id", "text", "toxic")), strict=True)]
+        rows.sort(key=lambda r: (r[0], r[1] or ""))
+        if rows:
+            model = train([r[1] for r in rows], [r[2] for r in rows])
+            blob = model and pickle.dumps((model.words, model.grams, model.params))
+            yield pa.RecordBatch.from_arrays([pa.array([blob], pa.binary())], names=["model"])
+
+    sample = labelled_sample(docs, labels, **bounds)
+    row = sample.repartition(1).mapInArrow(run, "model binary").first()
+    return Model(*pickle.loads(row.model)) if row and row.model else None
 
 
 def scored(df: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
