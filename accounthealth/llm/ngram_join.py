@@ -49,6 +49,7 @@ LONG_LIST = 32  # texts; longer lists get the mark
 MAX_HOT = 1 << 20
 MARK_BITS = 22
 SHARD_SHINGLES = 2_000_000
+PARCEL_SHINGLES = 1 << 19  # shingles that a task deals at once (a longer text alone)
 _SECOND = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -93,6 +94,20 @@ def _text_sets(batches, size):
                 yield batch, chunk.row + k, values
 
 
+def _parcels(batch, size):
+    """Lists of (index in the batch, set) of bounded shingle volume."""
+    parcel, volume = [], 0
+    for _, k, values in _text_sets([batch], size):
+        if len(values):
+            parcel.append((k, values))
+            volume += len(values)
+        if volume >= PARCEL_SHINGLES:
+            yield parcel
+            parcel, volume = [], 0
+    if parcel:
+        yield parcel
+
+
 def set_classes(df: DataFrame, size: int = SIZE) -> DataFrame:
     """``id, row, n, k1, k2`` for the ``id, text, row`` of every input row."""
     def run(batches):
@@ -143,9 +158,8 @@ def long_list_marks(texts: DataFrame, bits: int, size: int) -> np.ndarray:
     """Bitmap of the shingles that more than LONG_LIST texts hold."""
     def count(batches):
         for batch in batches:
-            sets = [v for _, _, v in _text_sets([batch], size)]
-            every = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-            if len(every):
+            for parcel in _parcels(batch, size):
+                every = np.concatenate([values for _, values in parcel])
                 full, blobs = _dealt(every, bits, _below(every, bits))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(full, pa.int64()), pa.array(blobs, pa.binary())],
@@ -177,28 +191,25 @@ def postings(texts: DataFrame, marks, bits: int, size: int, percent: int) -> Dat
     """``bucket, blob``: the short-list entries of every set, dealt by shingle."""
     def run(batches):
         for batch in batches:
-            parts = []
-            for _, _, values in _text_sets([batch], size):
-                n = len(values)
-                if not n:
-                    continue
-                long = marks.value[mark_of(values, bits)]
-                order = np.concatenate([values[~long], values[long]])
-                prefix = order[:n - int(_needed(n, percent)) + 1]
-                aside = max(0, len(prefix) - int((~long).sum()))
-                parts.append((prefix, class_values(values)[0], n, min(aside, 65535)))
-            if not parts:
-                continue
-            lens = [len(p[0]) for p in parts]
-            every = np.concatenate([p[0] for p in parts])
-            full, blobs = _dealt(
-                every, bits, _below(every, bits),
-                np.repeat(np.array([p[1] for p in parts], np.int64), lens),
-                np.repeat(np.array([p[2] for p in parts], np.uint32), lens),
-                np.repeat(np.array([p[3] for p in parts], np.uint16), lens))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(full, pa.int64()), pa.array(blobs, pa.binary())],
-                names=["bucket", "blob"])
+            for parcel in _parcels(batch, size):
+                parts = []
+                for _, values in parcel:
+                    n = len(values)
+                    long = marks.value[mark_of(values, bits)]
+                    order = np.concatenate([values[~long], values[long]])
+                    prefix = order[:n - int(_needed(n, percent)) + 1]
+                    aside = max(0, len(prefix) - int((~long).sum()))
+                    parts.append((prefix, class_values(values)[0], n, min(aside, 65535)))
+                lens = [len(p[0]) for p in parts]
+                every = np.concatenate([p[0] for p in parts])
+                full, blobs = _dealt(
+                    every, bits, _below(every, bits),
+                    np.repeat(np.array([p[1] for p in parts], np.int64), lens),
+                    np.repeat(np.array([p[2] for p in parts], np.uint32), lens),
+                    np.repeat(np.array([p[3] for p in parts], np.uint16), lens))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(full, pa.int64()), pa.array(blobs, pa.binary())],
+                    names=["bucket", "blob"])
 
     return texts.mapInArrow(run, "bucket long, blob binary")
 
@@ -239,7 +250,7 @@ def _pairs_of_bucket(bucket: int, blobs, marks: np.ndarray, bits: int, percent:
         left.append(i), right.append(i + 1), shared.append(np.full(len(i), 1 << 40))
     for size in np.unique(held[~long]):
         starts = at[~long][held[~long] == size]
-        step = max(1, 4_000_000 // (size * size))
+        step = max(1, 1_000_000 // (size * size))
         a, b = np.triu_indices(size, 1)
         for lo in range(0, len(starts), step):
             i = (starts[lo:lo + step, None] + a).ravel()
@@ -404,14 +415,13 @@ def linked(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size:
         for batch in batches:
             take = wanted.value[batch.column("place").to_numpy()]
             batch = batch.filter(pa.array(take))
-            ids, k1, blobs = [], [], []
-            for part, k, values in _text_sets([batch], size):
-                ids.append(part.column("id")[k].as_py())
-                k1.append(class_values(values)[0])
-                blobs.append(values.tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, batch.schema.field("id").type), pa.array(k1, pa.int64()),
-                 pa.array(blobs, pa.binary())], names=["id", "k1", "values"])
+            for parcel in _parcels(batch, size):
+                ids = batch.column("id").take(pa.array([k for k, _ in parcel]))
+                k1 = [class_values(values)[0] for _, values in parcel]
+                blobs = [values.tobytes() for _, values in parcel]
+                yield pa.RecordBatch.from_arrays(
+                    [ids, pa.array(k1, pa.int64()), pa.array(blobs, pa.binary())],
+                    names=["id", "k1", "values"])
 
     place = F.shiftrightunsigned(F.xxhash64("id"), 64 - MARK_BITS).cast("int")
     sets = texts.withColumn("place", place).mapInArrow(

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = (4 << 20) - (1 << 16)  # bytes of text worked on at once (a longer text alone)
+CHUNK_BYTES = (1 << 20) - (1 << 14)  # bytes of text worked on at once (a longer text alone)
 
 _STEP = np.uint64(0x9E3779B97F4A7C15 | 5)  # odd; odd powers are invertible mod 2**64
 _MIX_1, _MIX_2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
