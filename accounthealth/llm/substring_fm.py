@@ -240,8 +240,8 @@ def repeated_intervals(texts: DataFrame, length: int = LENGTH) -> DataFrame:
 
     def read_words(batches):
         for batch in batches:
-            out = {k: [] for k in ("mini", "d1", "d2", "windows", "copies", "words")}
             for chunk in chunks(batch.column("text")):
+                out = {k: [] for k in ("mini", "d1", "d2", "windows", "copies", "words")}
                 words = word_values(chunk)
                 for k in range(chunk.rows):
                     for w in batch.column("want")[chunk.row + k].as_py():
@@ -249,11 +249,11 @@ def repeated_intervals(texts: DataFrame, length: int = LENGTH) -> DataFrame:
                         out["words"].append(words[lo:lo + w["windows"] + length - 1].tobytes())
                         for name in ("mini", "d1", "d2", "windows", "copies"):
                             out[name].append(w[name])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out["mini"], pa.int64()), pa.array(out["d1"], pa.int64()),
-                 pa.array(out["d2"], pa.int64()), pa.array(out["windows"], pa.int32()),
-                 pa.array(out["copies"], pa.int64()), pa.array(out["words"], pa.binary())],
-                names=list(out))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(out["mini"], pa.int64()), pa.array(out["d1"], pa.int64()),
+                     pa.array(out["d2"], pa.int64()), pa.array(out["windows"], pa.int32()),
+                     pa.array(out["copies"], pa.int64()), pa.array(out["words"], pa.binary())],
+                    names=list(out))
 
     moved = texts.select("rid", "text").join(wanted, "rid").select("text", "want").mapInArrow(
         read_words, "mini long, d1 long, d2 long, windows int, copies long, words binary")
@@ -310,8 +310,8 @@ def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
             flat = spans.flatten()
             lo, hi = (flat.field(k).to_numpy() for k in (0, 1))
             edges = np.r_[0, np.cumsum(lens)]
-            ids, n, gone, kept, sha = [], [], [], [], []
             for c in chunks(batch.column("text")):
+                kept, sha = [], []
                 a, b = edges[c.row], edges[c.row + c.rows]
                 base = np.repeat(c.first[:-1], lens[c.row:c.row + c.rows])
                 mark = np.zeros(len(c.start) + 1, np.int64)
@@ -321,16 +321,16 @@ def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 data, at = _kept_bytes(c, keep)
                 total = np.r_[0, np.cumsum(keep)]
                 words = np.diff(c.first)
-                n.extend(words.tolist())
-                gone.extend((words - np.diff(total[c.first])).tolist())
+                gone = words - np.diff(total[c.first])
                 for x, y in zip(at[:-1], at[1:], strict=True):
                     text = data[x:y].tobytes()
                     kept.append(text)
                     sha.append(hashlib.sha256(text).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(n, pa.int64()), pa.array(gone, pa.int64()),
-                 pa.array(kept, pa.binary()).cast(pa.string()), pa.array(sha, pa.string())],
-                names=["id", "n_words", "n_removed", "kept_text", "kept_sha256"])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("id").slice(c.row, c.rows), pa.array(words, pa.int64()),
+                     pa.array(gone, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string()),
+                     pa.array(sha, pa.string())],
+                    names=["id", "n_words", "n_removed", "kept_text", "kept_sha256"])
 
     return texts.join(spans, "rid", "left").select("id", "text", "spans").mapInArrow(
         cut, f"id {kind}, n_words long, n_removed long, kept_text string, kept_sha256 string")
