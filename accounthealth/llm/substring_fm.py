@@ -18,7 +18,10 @@ word sequence also starts anywhere else goes, judged on the input texts.
    twice; where it stops, all windows that hold the stopped run are skipped.
    As a piece is shorter than two windows, its repeats are one interval, from
    the first to the last repeated window.
-4. The intervals return to every document that holds the content.
+4. A minimiser whose contents alone exceed a shard (a common run of words in
+   ever different surroundings) is not one shard: its contents' windows are dealt
+   by a 128-bit value each and counted, which spreads them over all tasks.
+5. The intervals return to every document that holds the content.
 
 Words are compared by 64-bit values, rows are told apart by a 64-bit value of
 identifier and text, so repeated identifiers are separate documents.
@@ -41,6 +44,7 @@ from accounthealth.llm.textbytes import Chunk, _powers, chunks, mixed, run_value
 
 LENGTH = 35  # words of a window
 GRAM = 6
+PLACE_BITS = 30  # a text has at most 2 ** 31 bytes, so fewer words than 2 ** 30
 SHARD_WORDS = 1_500_000
 _SECOND = np.uint64(0xD6E8FEB86659FD93)
 
@@ -63,7 +67,8 @@ def pieces(words: np.ndarray, first: np.ndarray, length: int = LENGTH, gram: int
     if len(words) < length:
         return none, none, none, np.zeros(0, np.uint64)
     grams = run_values(words, gram)
-    bits = np.uint64(max(1, int(len(words)).bit_length()))
+    # The same bits in every chunk, so that equal windows choose alike.
+    bits = np.uint64(PLACE_BITS)
     place = np.arange(len(grams), dtype=np.uint64)
     least = _least((grams >> bits << bits) | place, length - gram + 1)
     at = (least & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
@@ -225,18 +230,25 @@ def repeated_intervals(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     """``rid, spans`` (word intervals to remove) for the texts that have any."""
     spark = texts.sparkSession
     found = _piece_rows(texts.select("rid", "text"), length)
-    # Counted before the exchange, so a hot minimiser is one row a task; the join that
-    # drops what cannot repeat is one whose hot partitions Spark splits.
-    shared = found.groupBy("mini").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    held = staged(found.join(shared, "mini").drop("n"), "pieces")
+    # Counted before the exchange, so a hot minimiser is one row a task. The counts
+    # are written, not joined where they were made: Spark splits the hot partitions
+    # of a join only if both sides come straight from their exchanges.
+    shared = staged(found.groupBy("mini").agg(F.count(F.lit(1)).alias("n"))
+                    .filter("n > 1").select("mini"), "minimisers")
+    held = staged(found.join(shared, "mini"), "pieces")
     contents = staged(held.groupBy("mini", "d1", "d2", "windows").agg(
         F.count(F.lit(1)).alias("copies"),
         F.min(F.struct("rid", "start")).alias("at")), "contents")
     volume = contents.agg(F.sum(F.col("windows") + length)).first()[0] or 0
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), volume // SHARD_WORDS + 1)
+    crowded = staged(contents.groupBy("mini").agg(F.sum(F.col("windows") + length).alias("volume"))
+                     .filter(F.col("volume") > SHARD_WORDS).select("mini"), "crowded")
 
-    wanted = contents.groupBy(F.col("at.rid").alias("rid")).agg(F.collect_list(F.struct(
-        F.col("at.start").alias("start"), "windows", "mini", "d1", "d2", "copies")).alias("want"))
+    def with_wanted(some: DataFrame) -> DataFrame:
+        """``text, want`` of the documents that the contents are read from."""
+        wanted = some.groupBy(F.col("at.rid").alias("rid")).agg(F.collect_list(F.struct(
+            F.col("at.start").alias("start"), "windows", "mini", "d1", "d2", "copies")).alias("want"))
+        return texts.select("rid", "text").join(wanted, "rid").select("text", "want")
 
     def read_words(batches):
         for batch in batches:
@@ -255,7 +267,7 @@ def repeated_intervals(texts: DataFrame, length: int = LENGTH) -> DataFrame:
                      pa.array(out["copies"], pa.int64()), pa.array(out["words"], pa.binary())],
                     names=list(out))
 
-    moved = texts.select("rid", "text").join(wanted, "rid").select("text", "want").mapInArrow(
+    moved = with_wanted(contents.join(crowded, "mini", "left_anti")).mapInArrow(
         read_words, "mini long, d1 long, d2 long, windows int, copies long, words binary")
 
     def search(frame: pd.DataFrame) -> pd.DataFrame:
@@ -274,11 +286,42 @@ def repeated_intervals(texts: DataFrame, length: int = LENGTH) -> DataFrame:
 
     hits = (moved.withColumn("shard", F.pmod(F.xxhash64("mini"), F.lit(shards)))
             .groupBy("shard").applyInPandas(search, "mini long, d1 long, d2 long, lo int, hi int"))
+    if not crowded.isEmpty():
+        hits = hits.unionByName(_counted_spans(
+            with_wanted(contents.join(crowded, "mini", "left_semi")), length))
     return held.join(hits, ["mini", "d1", "d2"]).groupBy("rid").agg(F.collect_set(F.struct(
         (F.col("start") + F.col("lo")).alias("lo"),
         (F.col("start") + F.col("hi")).alias("hi"))).alias("spans"))
 
 
+def _counted_spans(wanted: DataFrame, length: int) -> DataFrame:
+    """``mini, d1, d2, lo, hi`` of the contents wanted from texts (``text, want``),
+    by counting the values of their windows."""
+    def read_windows(batches):
+        for batch in batches:
+            for chunk in chunks(batch.column("text")):
+                want = [(k, w) for k in range(chunk.rows)
+                        for w in batch.column("want")[chunk.row + k].as_py()]
+                count = np.array([w["windows"] for _, w in want])
+                begin = np.array([chunk.first[k] + w["start"] for k, w in want])
+                nth = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+                w1, w2 = content_values(word_values(chunk), np.repeat(begin, count) + nth,
+                                        np.full(len(nth), length))
+                own = [pa.array(np.repeat(np.array([w[name] for _, w in want], np.int64), count))
+                       for name in ("mini", "d1", "d2", "copies")]
+                yield pa.RecordBatch.from_arrays(
+                    [*own, pa.array(nth.astype(np.int32)), pa.array(w1), pa.array(w2)],
+                    names=["mini", "d1", "d2", "copies", "nth", "w1", "w2"])
+
+    windows = staged(wanted.mapInArrow(
+        read_windows, "mini long, d1 long, d2 long, copies long, nth int, w1 long, w2 long"),
+        "windows")
+    again = staged(windows.groupBy("w1", "w2").agg(F.sum("copies").alias("n"))
+                   .filter("n > 1").select("w1", "w2"), "repeated")
+    return windows.join(again, ["w1", "w2"]).groupBy("mini", "d1", "d2").agg(
+        F.min("nth").alias("lo"), (F.max("nth") + length).cast("int").alias("hi"))
+
+
 def _kept_bytes(chunk: Chunk, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of the kept words, one space between, and each text's offsets."""
     size = len(chunk.data)

@@ -158,8 +158,10 @@ def without_repeats(rows, length=35):
     return out
 
 
-@pytest.mark.parametrize("seed", [6, 7])
-def test_substring_dedup(docs_of, seed):
+@pytest.mark.parametrize("seed,shard", [(6, 1_500_000), (7, 1_500_000), (7, 200), (7, 0)])
+def test_substring_dedup(docs_of, monkeypatch, seed, shard):
+    """Also with some and with all minimisers beyond a shard."""
+    monkeypatch.setattr(substring_fm, "SHARD_WORDS", shard or 1)
     rows = awkward(seed)
     got = substring_fm.without_repeats(docs_of(rows)).drop("kept_text").collect()
     assert Counter(tuple(r) for r in got) == without_repeats(rows)
