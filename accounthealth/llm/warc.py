@@ -140,11 +140,15 @@ def parse(data: bytes) -> tuple[dict[str, str], bytes]:
 
 
 def decisions(pages: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
-    """``page_id, digest, refers_to`` for the distinct (identifier, payload) pairs."""
+    """``key, own, refers_to`` for the distinct (identifier, payload digest) pairs.
+
+    Only digests that repeat have a head worth joining. The heads are written, so
+    that Spark either broadcasts them by their size or splits a hot digest."""
     keys = pages.select("page_id", base32_sha1(text_or_empty("html")).alias("digest"),
                         F.octet_length(text_or_empty("html")).alias("size")).distinct()
-    heads = keys.filter(F.col("size") >= least_bytes).groupBy("digest").agg(
-        F.min("page_id").alias("head"))
+    heads = staged(keys.filter(F.col("size") >= least_bytes).groupBy("digest").agg(
+        F.min("page_id").alias("head"), F.count(F.lit(1)).alias("n"))
+        .filter("n > 1").select("digest", "head"), "heads")
     revisit = ~F.col("page_id").eqNullSafe(F.col("head"))
     return keys.join(heads, "digest", "left").select(
         F.col("page_id").alias("key"), F.col("digest").alias("own"),
