@@ -6,13 +6,19 @@ centroid pairs in order of their summed distance (here: falling inner product
 of the halves) with a heap until the cells hold ``probe`` vectors; those are
 reranked by the exact measure on the original vectors.
 
+How far to walk depends on the data, so it is measured: ``TUNE_QUERIES`` queries
+are compared with every vector, and ``probe`` is what the walk needs to meet
+``RECALL`` of their true neighbours (``LEAST_PROBE`` at least). The more the
+vectors lack structure, the larger a part of the index that is.
+
 The codebooks are fitted to a bounded sample (``SAMPLE`` vectors by a hash of
 their identifier); every vector is indexed. Cells are cut into units of at most
 about ``UNIT`` vectors and units are dealt to tasks, so no cell grows a task; a
 query is sent once to each task that holds one of its units. Of vectors that
 are equal in every component only the ``k + 1`` smallest identifiers are
 indexed: no other can be among a query's k nearest, as ties go to the smaller
-identifier.
+identifier. More than ``TASK_QUERIES`` queries are split into parts, each with
+tasks of its own.
 
 Defined results: vectors that are null, zero, or hold null or non-finite
 components take no part, nor do those whose length is not the commonest one
@@ -33,12 +39,15 @@ from pyspark.sql import functions as F
 from accounthealth.llm.frames import quoted, staged
 
 K = 20
-PROBE = 4000  # vectors a query looks at
+LEAST_PROBE = 4000  # vectors a query looks at
+TUNE_QUERIES, RECALL = 100, 0.97
 SAMPLE = 20_000
 MAX_CENTROIDS = 1024
 ROUNDS = 12
 UNIT = 2000
 TASK_VECTORS = 5000
+TASK_QUERIES = 20_000
+BLOCK = 256  # queries scored at once
 
 
 def valid_vectors(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -103,12 +112,71 @@ def walk(first: np.ndarray, second: np.ndarray, held: np.ndarray, probe: int) ->
     return out
 
 
+def _best(score: np.ndarray, names: np.ndarray, m: np.ndarray, query: np.ndarray,
+          slack: float, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and exact scores of the k best of a row of quick scores (-inf: no candidate).
+
+    Quick scores may differ by rounding between equal vectors; those within
+    ``slack`` of the k-th are scored again, each row in the same way.
+    """
+    at = np.flatnonzero(score > -np.inf)
+    if len(at) > k:
+        at = at[score[at] >= np.partition(score[at], -k)[-k] - slack]
+    exact = (m[at] * query).sum(axis=1)
+    order = np.lexsort((names[at], -exact))[:k]
+    return at[order], exact[order]
+
+
+def _probe_for(indexed: DataFrame, tune: pa.Table, books: list[np.ndarray], held: np.ndarray,
+               k: int) -> int:
+    """How many vectors the walk must look at to meet RECALL of the k true
+    neighbours of the ``id, vector`` queries in ``tune`` (a bounded sample)."""
+    own = tune.column("id").to_numpy()
+    q = _matrix(tune.column("vector").combine_chunks())
+
+    def nearest_of_all(batches):
+        top = [(np.zeros(0), np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in own]
+        for batch in batches:
+            m = _matrix(batch.column("vector"))
+            names, cell = batch.column("id").to_numpy(), batch.column("cell").to_numpy()
+            for n, score in enumerate(q @ m.T if len(m) else []):
+                at = np.flatnonzero(names != own[n])
+                if len(at) > k:
+                    at = at[np.argpartition(-score[at], k - 1)[:k]]
+                s, i, c = (np.concatenate(x) for x in zip(
+                    top[n], (score[at], names[at], cell[at]), strict=True))
+                best = np.lexsort((i, -s))[:k]
+                top[n] = s[best], i[best], c[best]
+        size = [len(t[0]) for t in top]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.repeat(np.arange(len(own)), size)),
+             *(pa.array(np.concatenate([t[x] for t in top])) for x in range(3))],
+            names=["q", "score", "id", "cell"])
+
+    order = Window.partitionBy("q").orderBy(F.desc("score"), "id")
+    found = indexed.mapInArrow(nearest_of_all, "q long, score double, id long, cell long")
+    found = found.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= k)
+    found = found.select("q", "cell").toArrow()  # at most TUNE_QUERIES * k rows
+    of, cell = (found.column(c).to_numpy() for c in ("q", "cell"))
+    half, needed = books[0].shape[1], []
+    for n in np.unique(of):
+        near = ((books[0] @ q[n, :half])[:, None] + books[1] @ q[n, half:]).ravel()
+        walked = np.argsort(-near, kind="stable")
+        passed = np.empty(len(near), np.int64)
+        passed[walked] = np.cumsum(held[walked])
+        needed.append(passed[cell[of == n]])
+    if not needed:
+        return LEAST_PROBE
+    return max(LEAST_PROBE, int(np.ceil(np.quantile(np.concatenate(needed), RECALL))))
+
+
 def neighbours(df: DataFrame, queries: DataFrame, id_col: str = "vec_id",
-               vector_col: str = "embedding", k: int = K, probe: int = PROBE,
+               vector_col: str = "embedding", k: int = K, probe: int | None = None,
                seed: int = 1) -> DataFrame:
     """``query_id, rank, vec_id, score`` of each query's nearest rows of ``df``.
 
     ``queries`` has the columns of ``df``; only its valid vectors are asked.
+    ``probe`` None measures how far to walk.
     """
     spark = df.sparkSession
     rows = valid_vectors(df, id_col, vector_col)
@@ -147,55 +215,70 @@ def neighbours(df: DataFrame, queries: DataFrame, id_col: str = "vec_id",
     def unit_task(cell, sub):  # which task holds a unit
         return (cell * 1_000_003 + sub * 7_919) % tasks
 
+    asked = staged(valid_vectors(queries, id_col, vector_col).filter(
+        F.size("vector") == points.shape[1]), "queries")
+    parts = max(1, -(-asked.count() // TASK_QUERIES))
+    if probe is None:
+        tune = asked.orderBy(F.xxhash64("id"), "id").limit(TUNE_QUERIES).toArrow()
+        probe = _probe_for(indexed, tune, books, held, k)
+
     sizes = indexed.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / UNIT).alias("units"))
     units = indexed.join(sizes, "cell").withColumn(
         "sub", F.pmod(F.xxhash64("id"), F.col("units")))
-    units = units.withColumn("task", unit_task(F.col("cell"), F.col("sub"))).select(
-        "task", "cell", "id", "vector")
+    units = units.withColumn("task", unit_task(F.col("cell"), F.col("sub"))).withColumn(
+        "part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).select(
+        "task", "part", "cell", "id", "vector")
 
     def route(batches):
         one, two = shared.value
         for batch in batches:
-            out = {"task": [], "id": [], "vector": [], "cells": []}
+            out = {"task": [], "id": [], "vector": [], "least": []}
             m = _matrix(batch.column("vector"))
             for q, vector in zip(batch.column("id").to_pylist(), m, strict=True):
-                to = {}
-                for cell in walk(one @ vector[:half], two @ vector[half:], cells.value, probe):
-                    for sub in range(-(-int(cells.value[cell]) // UNIT)):
-                        to.setdefault(unit_task(cell, sub), []).append(cell)
-                for task, own in to.items():
-                    for name, x in zip(out, (task, q, vector, own), strict=True):
+                first, second = one @ vector[:half], two @ vector[half:]
+                walked = walk(first, second, cells.value, probe)
+                least = first[walked[-1] // width] + second[walked[-1] % width]
+                for task in {unit_task(cell, sub) for cell in walked
+                             for sub in range(-(-int(cells.value[cell]) // UNIT))}:
+                    for name, x in zip(out, (task, q, vector, least), strict=True):
                         out[name].append(x)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(out["task"], pa.int64()), pa.array(out["id"], pa.int64()),
                  pa.array(out["vector"], pa.list_(pa.float64())),
-                 pa.array(out["cells"], pa.list_(pa.int64()))], names=list(out))
+                 pa.array(out["least"], pa.float64())], names=list(out))
 
-    asked = valid_vectors(queries, id_col, vector_col).filter(
-        F.size("vector") == points.shape[1])
-    routed = asked.mapInArrow(route, "task long, id long, vector array<double>, cells array<long>")
+    routed = asked.mapInArrow(
+        route, "task long, id long, vector array<double>, least double").withColumn(
+        "part", F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int"))
 
     def rerank(vectors: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
-        found = []
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
         if len(vectors) and len(wanted):
+            one, two = shared.value
             vectors = vectors.sort_values("cell", kind="stable")
-            names, cell = vectors["id"].to_numpy(), vectors["cell"].to_numpy()
-            m = np.stack(vectors["vector"].to_numpy())
-            for q, vector, own in zip(wanted["id"], wanted["vector"], wanted["cells"], strict=True):
-                own = np.unique(own)
-                lo, hi = np.searchsorted(cell, own), np.searchsorted(cell, own, side="right")
-                at = np.concatenate([np.arange(a, b) for a, b in zip(lo, hi, strict=True)])
-                at = at[names[at] != q]
-                score = (m[at] * np.asarray(vector)).sum(axis=1)
-                best = np.lexsort((names[at], -score))[:k]
-                found.append(pd.DataFrame({"query_id": q, "vec_id": names[at][best],
-                                           "score": score[best]}))
-        if not found:
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype(
-                {"query_id": "int64", "vec_id": "int64"})
-        return pd.concat(found)
-
-    some = units.groupBy("task").cogroup(routed.groupBy("task")).applyInPandas(
+            names, m = vectors["id"].to_numpy(), np.stack(vectors["vector"].to_numpy())
+            cell, at = np.unique(vectors["cell"].to_numpy(), return_index=True)
+            edges = np.r_[at, len(m)]
+            longest = np.sqrt(np.square(m).sum(axis=1).max())
+            for lo in range(0, len(wanted), BLOCK):
+                block = wanted.iloc[lo:lo + BLOCK]
+                own, q = block["id"].to_numpy(), np.stack(block["vector"].to_numpy())
+                slack = 1e-9 * longest * np.sqrt(np.square(q).sum(axis=1))
+                # A query wants the cells that its walk passed: those not below its last.
+                near = (one @ q[:, :half].T)[cell // width] + (two @ q[:, half:].T)[cell % width]
+                wants = near >= block["least"].to_numpy() - slack
+                score = np.full((len(q), len(m)), -np.inf)
+                for c in range(len(cell)):
+                    who = np.flatnonzero(wants[c])
+                    score[who, edges[c]:edges[c + 1]] = q[who] @ m[edges[c]:edges[c + 1]].T
+                for n in range(len(q)):
+                    score[n, names == own[n]] = -np.inf
+                    best, exact = _best(score[n], names, m, q[n], slack[n], k)
+                    found.append((np.full(len(best), own[n]), names[best], exact))
+        return pd.DataFrame(dict(zip(
+            ("query_id", "vec_id", "score"), map(np.concatenate, zip(*found, strict=True)), strict=True)))
+
+    some = units.groupBy("task", "part").cogroup(routed.groupBy("task", "part")).applyInPandas(
         rerank, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return some.withColumn("rank", F.row_number().over(order)).filter(

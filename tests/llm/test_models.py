@@ -283,6 +283,27 @@ def test_neighbours_with_copies_and_odd_vectors(llm):
     assert multi_index.neighbours(frame.limit(0), frame).count() == 0
 
 
+def test_walk_is_long_enough_for_the_recall(llm, monkeypatch):
+    """Vectors without structure, most of which a short walk would not see; queries in parts."""
+    monkeypatch.setattr(multi_index, "LEAST_PROBE", 40)
+    monkeypatch.setattr(multi_index, "TASK_QUERIES", 30)
+    rng = np.random.default_rng(7)
+    m = rng.normal(size=(2000, 16))
+    frame = llm.createDataFrame([(k, v.tolist()) for k, v in enumerate(m)],
+                                "vec_id long, embedding array<double>")
+    got = defaultdict(dict)
+    for r in multi_index.neighbours(frame, frame.filter("vec_id % 20 = 0")).collect():
+        got[r.query_id][r.rank] = r.vec_id
+        assert r.score == pytest.approx(m[r.query_id] @ m[r.vec_id])
+    assert len(got) == 100 and all(sorted(g) == list(range(1, 21)) for g in got.values())
+    found = []
+    for q, g in got.items():
+        s = m @ m[q]
+        s[q] = -np.inf
+        found.append(len(set(g.values()) & set(np.argsort(-s)[:20].tolist())) / 20)
+    assert np.mean(found) >= 0.9
+
+
 def test_recall(llm):
     frame = llm.read.parquet(f"{SF001}/embeddings.parquet")
     got = defaultdict(set)
