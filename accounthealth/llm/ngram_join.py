@@ -17,10 +17,14 @@ least that many of its inverted lists must hold the partner (T-occurrence).
 3. The pairs and chains join sets into blocks (``components``), which are cut
    into shards of bounded shingle volume. Each pair of shards of a block is one
    task's T-occurrence search: short lists are merged (by a heap, or by a
-   sort of the runs when they are long), the long lists put aside are probed by
-   binary search, and sets that reach the overlap link. A partner that a set
-   is already linked to by others is not probed again: the links returned span
-   the components, they are not all pairs.
+   sort of the runs when they are long), the lists put aside are counted (the
+   longest by binary search), and every pair that reaches the overlap links.
+   Tasks return a number of links for each class and only those links that span
+   its components, so their rows grow with the classes, not with the pairs;
+   ``class_links`` returns all pairs of classes.
+
+The links of a document are the other rows of its class and all rows of the
+classes that its class links with.
 
 Values of words, shingles and classes are 64-bit; the sets of a class are
 compared by two such sums and their size. Identifiers may repeat.
@@ -49,6 +53,7 @@ LONG_LIST = 32  # texts; longer lists get the mark
 MAX_HOT = 1 << 20
 MARK_BITS = 22
 SHARD_SHINGLES = 2_000_000
+SHARD_SETS = 4000  # when all pairs are returned
 PARCEL_SHINGLES = 1 << 19  # shingles that a task deals at once (a longer text alone)
 _SECOND = np.uint64(0xD6E8FEB86659FD93)
 
@@ -282,22 +287,14 @@ def candidate_edges(dealt: DataFrame, marks, bits: int, percent: int) -> DataFra
 
 # ---- search
 
-def search(keys: list[int], sets: list[np.ndarray], left: np.ndarray, right: np.ndarray,
-           percent: int) -> list[tuple[int, int]]:
-    """Links that span the components of sets, between ``left`` and ``right`` ones.
+def partners(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, percent: int):
+    """``q, linked`` for the sets of ``left``: all its links among those of ``right``.
 
     T-occurrence search: each set of ``left`` is a query against the inverted
-    lists of the sets of ``right``.
+    lists of the sets of ``right``. Two sets that are both in ``left`` and in
+    ``right`` are given once, with the earlier as the query.
     """
     n = np.array([len(s) for s in sets], dtype=np.int64)
-    parent = list(range(len(sets)))
-
-    def root(k):
-        while parent[k] != k:
-            parent[k] = parent[parent[k]]
-            k = parent[k]
-        return k
-
     indexed = np.flatnonzero(right)
     token = np.concatenate([sets[k] for k in indexed]) if len(indexed) else np.zeros(0, np.uint64)
     holder = np.repeat(indexed, n[indexed])
@@ -305,7 +302,7 @@ def search(keys: list[int], sets: list[np.ndarray], left: np.ndarray, right: np.
     token, holder = token[order], holder[order]
     at = np.flatnonzero(np.r_[True, token[1:] != token[:-1]]) if len(token) else np.zeros(0, np.int64)
     names, edges = token[at], np.r_[at, len(token)]
-    links = []
+    spot = np.full(len(sets), -1)
     for q in np.flatnonzero(left):
         if not len(names):
             break
@@ -326,38 +323,77 @@ def search(keys: list[int], sets: list[np.ndarray], left: np.ndarray, right: np.
             cand, count = (np.array(x, dtype=np.int64) for x in zip(*met, strict=True))
         else:
             cand, count = np.unique(np.concatenate(runs), return_counts=True)
-        fit = (cand != q) & (100 * np.minimum(n[cand], n[q]) >= percent * np.maximum(n[cand], n[q]))
+        fit = (cand > q) if right[q] else (cand != q)
+        fit |= ~left[cand]
+        fit &= 100 * np.minimum(n[cand], n[q]) >= percent * np.maximum(n[cand], n[q])
         need = _overlap(n[cand], n[q], percent)
         fit &= count + len(long) >= need
         cand, count, need = cand[fit], count[fit], need[fit]
-        best = np.argsort(-count, kind="stable")
-        cand, count, need = cand[best], count[best], need[best]
-        while len(cand):
-            mine = root(q)
-            apart = np.array([root(c) != mine for c in cand[:64]], dtype=bool)
-            some, have, want = cand[:64][apart], count[:64][apart].copy(), need[:64][apart]
-            cand, count, need = cand[64:], count[64:], need[64:]
-            for done, w in enumerate(long):
-                if not len(some):
-                    break
-                entries = holder[edges[w]:edges[w + 1]]
-                place = np.searchsorted(entries, some)
-                place[place == len(entries)] = 0
-                have += entries[place] == some
-                alive = have + (len(long) - done - 1) >= want
-                some, have, want = some[alive], have[alive], want[alive]
-            for c in some:
-                a, b = root(q), root(int(c))
-                if a != b:
-                    parent[max(a, b)] = min(a, b)
-                    links.append((keys[q], keys[int(c)]))
-    return links
-
-
-def spanning_links(members: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFrame:
-    """``a, b`` links between classes. members: ``id, k1, n, block``; sets: ``id, k1, values``."""
-    volume = members.groupBy("block").agg(
-        F.ceil(F.sum("n") / SHARD_SHINGLES).cast("int").alias("shards"))
+        # Lists not much longer than the candidates are counted whole.
+        whole = int(np.searchsorted(edges[long + 1] - edges[long], 16 * len(cand), "right"))
+        if len(cand) and whole:
+            spot[cand] = np.arange(len(cand))
+            place = spot[np.concatenate([holder[edges[w]:edges[w + 1]] for w in long[:whole]])]
+            spot[cand] = -1
+            count = count + np.bincount(place[place >= 0], minlength=len(cand))
+        long = long[whole:]
+        alive = count + len(long) >= need
+        cand, count, need = cand[alive], count[alive], need[alive]
+        for done, w in enumerate(long):
+            if not len(cand):
+                break
+            entries = holder[edges[w]:edges[w + 1]]
+            place = np.searchsorted(entries, cand)
+            place[place == len(entries)] = 0
+            count = count + (entries[place] == cand)
+            alive = count + (len(long) - done - 1) >= need
+            cand, count, need = cand[alive], count[alive], need[alive]
+        if len(cand):
+            yield int(q), cand
+
+
+def search(keys: list[int], sets: list[np.ndarray], left: np.ndarray, right: np.ndarray,
+           percent: int) -> list[tuple[int, int]]:
+    """All links between sets of ``left`` and of ``right``, each once."""
+    return [(keys[q], keys[c]) for q, found in partners(sets, left, right, percent)
+            for c in found.tolist()]
+
+
+def counted_links(keys: np.ndarray, sets: list[np.ndarray], weight: np.ndarray, left: np.ndarray,
+                  right: np.ndarray, percent: int) -> pd.DataFrame:
+    """``a, b, links``: links that span the components of sets (``links`` 0), and
+    for each set with links the weight of its partners (``b`` is ``a``)."""
+    parent, held, span = list(range(len(sets))), np.zeros(len(sets), np.int64), []
+
+    def root(k):
+        while parent[k] != k:
+            parent[k] = parent[parent[k]]
+            k = parent[k]
+        return k
+
+    for q, found in partners(sets, left, right, percent):
+        held[q] += weight[found].sum()
+        held[found] += weight[q]
+        for c in found.tolist():
+            a, b = root(q), root(c)
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+                span.append((q, c))
+    one, two = np.array(span, np.int64).reshape(-1, 2).T
+    some = np.flatnonzero(held)
+    return pd.DataFrame({"a": keys[np.r_[one, some]], "b": keys[np.r_[two, some]],
+                         "links": np.r_[np.zeros(len(one), np.int64), held[some]]})
+
+
+def links_of_blocks(members: DataFrame, sets: DataFrame, percent: int,
+                    pairs: bool = False) -> DataFrame:
+    """``a, b, links`` of the classes, as ``counted_links`` has them; or all ``pairs`` ``a, b``.
+
+    members: ``id, k1, n, size, block``; sets: ``id, k1, values``."""
+    most = F.sum("n") / SHARD_SHINGLES
+    if pairs:  # a task's rows grow with the square of its sets
+        most = F.greatest(most, F.count(F.lit(1)) / SHARD_SETS)
+    volume = members.groupBy("block").agg(F.ceil(most).cast("int").alias("shards"))
     # Blocks of one shard share tasks: other blocks' sets in the lists change nothing.
     bins = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 4
     placed = members.join(volume, "block").withColumn(
@@ -366,7 +402,7 @@ def spanning_links(members: DataFrame, sets: DataFrame, size: int, percent: int)
     other = F.explode(F.when(F.col("shards") > 1, F.sequence(F.lit(0), F.col("shards") - 1))
                       .otherwise(F.array(F.lit(0))))
     tasks = placed.withColumn("other", other).select(
-        "id", "k1",
+        "id", "k1", "size",
         F.when(F.col("shards") > 1, F.col("block"))
         .otherwise(F.pmod(F.xxhash64("block"), F.lit(bins))).alias("place"),
         F.least("shard", "other").alias("i"), F.greatest("shard", "other").alias("j"), "shard",
@@ -376,11 +412,17 @@ def spanning_links(members: DataFrame, sets: DataFrame, size: int, percent: int)
     def find(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.drop_duplicates("k1").sort_values("k1")
         values = [np.frombuffer(v, np.uint64) for v in frame["values"]]
-        shard = frame["shard"].to_numpy()
-        links = search(frame["k1"].tolist(), values, shard == key[2], shard == key[3], percent)
-        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+        keys, shard = frame["k1"].to_numpy(), frame["shard"].to_numpy()
+        left, right = shard == key[2], shard == key[3]
+        if not pairs:
+            return counted_links(keys, values, frame["size"].to_numpy(), left, right, percent)
+        found = [(np.full(len(c), keys[q]), keys[c])
+                 for q, c in partners(values, left, right, percent)]
+        a, b = map(np.concatenate, zip(*found, strict=True)) if found else (keys[:0], keys[:0])
+        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
-    return work.groupBy("place", "cut", "i", "j").applyInPandas(find, "a long, b long")
+    return work.groupBy("place", "cut", "i", "j").applyInPandas(
+        find, "a long, b long" + (", links long" if not pairs else ""))
 
 
 def _id_marks(ids: DataFrame) -> np.ndarray:
@@ -392,23 +434,21 @@ def _id_marks(ids: DataFrame) -> np.ndarray:
     return marks
 
 
-def linked(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE,
-           percent: int = PERCENT, carry: bool = False) -> DataFrame:
-    """``id, n_shingles, component_id`` for every row (and ``row`` if ``carry``)."""
-    spark = df.sparkSession
-    rows = df.select(F.col(quoted(id_col)).alias("id"), F.col(quoted(text_col)).alias("text"),
-                     (packed(df, id_col) if carry else F.lit(None).cast("string")).alias("row"))
+def _searchable(rows: DataFrame, size: int, percent: int) -> tuple[DataFrame, ...]:
+    """The classes of every row, the distinct classes, and the members and sets of the blocks."""
+    spark = rows.sparkSession
     found = staged(set_classes(rows.withColumn("row", F.lit(None).cast("string")), size)
                    .drop("row"), "classes")
-    classes = (found.filter("n > 0").groupBy("k1", "k2", "n").agg(F.min("id").alias("rep")))
-    bits = _bucket_bits(df)
+    classes = found.filter("n > 0").groupBy("k1", "k2", "n").agg(
+        F.min("id").alias("rep"), F.count(F.lit(1)).alias("size"))
+    bits = _bucket_bits(rows)
     texts = rows.select("id", "text")
     marks = spark.sparkContext.broadcast(long_list_marks(texts, bits, size))
     edges = candidate_edges(postings(texts, marks, bits, size, percent), marks, bits, percent)
     blocks = components(edges)
     members = staged(blocks.join(classes, blocks.node == classes.k1)
-                     .select(F.col("rep").alias("id"), "k1", "n", F.col("component").alias("block")),
-                     "members")
+                     .select(F.col("rep").alias("id"), "k1", "n", "size",
+                             F.col("component").alias("block")), "members")
     wanted = spark.sparkContext.broadcast(_id_marks(members))
 
     def sets_of(batches):
@@ -426,23 +466,51 @@ def linked(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size:
     place = F.shiftrightunsigned(F.xxhash64("id"), 64 - MARK_BITS).cast("int")
     sets = texts.withColumn("place", place).mapInArrow(
         sets_of, f"id {dict(rows.dtypes)['id']}, k1 long, values binary")
-    joined = components(spanning_links(members, sets, size, percent))
+    return found, classes, members, sets
+
+
+def _rows(df: DataFrame, id_col: str, text_col: str, carry: bool = False) -> DataFrame:
+    return df.select(F.col(quoted(id_col)).alias("id"), F.col(quoted(text_col)).alias("text"),
+                     (packed(df, id_col) if carry else F.lit(None).cast("string")).alias("row"))
+
+
+def linked(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE,
+           percent: int = PERCENT, carry: bool = False, links: bool = False) -> DataFrame:
+    """``id, n_shingles, component_id`` for every row (and ``n_links`` if ``links``,
+    ``row`` if ``carry``)."""
+    rows = _rows(df, id_col, text_col, carry)
+    found, classes, members, sets = _searchable(rows, size, percent)
+    edges = staged(links_of_blocks(members, sets, percent), "links")
+    joined = components(edges.filter("links = 0").select("a", "b"))
+    held = edges.filter("links > 0").groupBy(F.col("a").alias("node")).agg(
+        F.sum("links").alias("links"))
     # The component's smallest identifier over its classes.
-    named = classes.join(joined, classes.k1 == joined.node).select("k1", "k2", "n", "rep", "component")
+    named = classes.join(joined.join(held, "node"), classes.k1 == F.col("node")).select(
+        "k1", "k2", "n", "rep", "component", "links")
     smallest = named.groupBy("component").agg(F.min("rep").alias("smallest"))
-    named = named.join(smallest, "component").select("k1", "k2", "n", "smallest")
+    named = named.join(smallest, "component").select("k1", "k2", "n", "smallest", "links")
     label = classes.join(named, ["k1", "k2", "n"], "left").select(
-        "k1", "k2", "n", F.coalesce("smallest", "rep").alias("label"))
+        "k1", "k2", "n", F.coalesce("smallest", "rep").alias("label"),
+        (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("links"))
     source = found if not carry else set_classes(rows, size)
     return source.join(label, ["k1", "k2", "n"], "left").select(
         "id", F.col("n").cast("long").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("label")).otherwise(F.col("id")).alias("component_id"),
+        *([F.coalesce("links", F.lit(0)).alias("n_links")] if links else []),
         *(["row"] if carry else []))
 
 
+def class_links(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE,
+                percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """Membership ``id, class_id`` (null: no shingles) and every pair ``a, b`` of linked classes."""
+    found, _, members, sets = _searchable(_rows(df, id_col, text_col), size, percent)
+    return (found.select("id", F.when(F.col("n") > 0, F.col("k1")).alias("class_id")),
+            links_of_blocks(members, sets, percent, pairs=True))
+
+
 def op9_ngram_join(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return linked(docs).withColumnRenamed("id", "doc_id")
+    return linked(docs, links=True).withColumnRenamed("id", "doc_id")
 
 
 def group_heads(docs: DataFrame) -> DataFrame:

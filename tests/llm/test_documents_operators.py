@@ -100,6 +100,44 @@ def test_ngram_join(docs_of, monkeypatch, long_list, shard):
     assert Counter(tuple(r) for r in got) == jaccard_components(rows)
 
 
+def shingle_sets(rows, size=5):
+    folded = [[re.sub("[A-Z]", lambda m: m[0].lower(), w) for w in words(t)] for _, t, _ in rows]
+    return [frozenset(tuple(w[k:k + size]) for k in range(max(1, len(w) - size + 1))) if w
+            else frozenset() for w in folded]
+
+
+def near(a, b, percent=75):
+    both = len(a & b)
+    return both > 0 and 100 * both >= percent * (len(a) + len(b) - both)
+
+
+@pytest.mark.parametrize("long_list,shard,most", [(32, 2_000_000, 4000), (2, 300, 3)])
+def test_ngram_join_finds_every_link(docs_of, monkeypatch, long_list, shard, most):
+    """A dense group of near copies with copies of its own: all its links, not n - 1."""
+    monkeypatch.setattr(ngram_join, "LONG_LIST", long_list)
+    monkeypatch.setattr(ngram_join, "SHARD_SHINGLES", shard)
+    monkeypatch.setattr(ngram_join, "SHARD_SETS", most)
+    base = [f"b{k}" for k in range(80)]
+    rows = awkward(13) + [(100 + k, " ".join(base[:40] + [f"x{k % 9}"] + base[40:]), "src0")
+                          for k in range(14)]
+    sets = shingle_sets(rows)
+    got = ngram_join.linked(docs_of(rows), links=True).collect()
+    want = Counter((i, len(s), sum(near(s, t) for t in sets) - bool(s))
+                   for (i, _, _), s in zip(rows, sets, strict=True))
+    assert Counter((r.id, r.n_shingles, r.n_links) for r in got) == want
+    assert Counter((r.id, r.n_shingles, r.component_id) for r in got) == jaccard_components(rows)
+
+    members, pairs = ngram_join.class_links(docs_of(rows))
+    size = Counter(r.class_id for r in members.collect() if r.class_id is not None)
+    pairs = [tuple(r) for r in pairs.collect()]
+    assert len(size) == len(set(sets) - {frozenset()})
+    unlike = list(set(sets))
+    assert len(pairs) == len(set(pairs)) == sum(
+        near(a, b) for k, a in enumerate(unlike) for b in unlike[:k])
+    assert sum(2 * size[a] * size[b] for a, b in pairs) + sum(
+        v * (v - 1) for v in size.values()) == sum(n * c for (_, _, n), c in want.items())
+
+
 def test_search_spans_brute_force_components():
     import numpy as np
 
