@@ -16,14 +16,17 @@ their identifier); every vector is indexed. Cells are cut into units of at most
 about ``UNIT`` vectors and units are dealt to tasks, so no cell grows a task; a
 query is sent once to each task that holds one of its units. Of vectors that
 are equal in every component only the ``k + 1`` smallest identifiers are
-indexed: no other can be among a query's k nearest, as ties go to the smaller
-identifier. More than ``TASK_QUERIES`` queries are split into parts, each with
+indexed, at most ``k`` rows of each and ``2 * k`` together: no other can be among
+a query's k nearest, as ties go to the smaller identifier and a query leaves out
+the rows of one identifier. More than ``TASK_QUERIES`` queries are split into parts, each with
 tasks of its own.
 
 Defined results: vectors that are null, zero, or hold null or non-finite
 components take no part, nor do those whose length is not the commonest one
 (the longer, on ties). Rows that repeat an identifier are separate
-candidates, but never of their own identifier. An empty table gives no rows.
+candidates, but never of their own identifier. Query rows that repeat an
+identifier are separate queries, each with its own ranks. An empty table gives
+no rows.
 """
 
 from __future__ import annotations
@@ -181,8 +184,11 @@ def neighbours(df: DataFrame, queries: DataFrame, id_col: str = "vec_id",
     spark = df.sparkSession
     rows = valid_vectors(df, id_col, vector_col)
     same = Window.partitionBy("vector").orderBy(F.col("id").asc_nulls_last())
-    rows = rows.withColumn("nth", F.row_number().over(same)).filter(
-        F.col("nth") <= k + 1).drop("nth")  # limited before the exchange, too
+    rows = rows.withColumn("nth", F.dense_rank().over(same)).filter(
+        F.col("nth") <= k + 1)  # limited before the exchange, too
+    for of, most in ((Window.partitionBy("vector", "id").orderBy("id"), k), (same, 2 * k)):
+        rows = rows.withColumn("nth", F.row_number().over(of)).filter(F.col("nth") <= most)
+    rows = rows.drop("nth")
     rows = staged(rows, "vectors")
     total = rows.count()
     sample = rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("vector").toArrow()
@@ -216,7 +222,8 @@ def neighbours(df: DataFrame, queries: DataFrame, id_col: str = "vec_id",
         return (cell * 1_000_003 + sub * 7_919) % tasks
 
     asked = staged(valid_vectors(queries, id_col, vector_col).filter(
-        F.size("vector") == points.shape[1]), "queries")
+        F.size("vector") == points.shape[1]).withColumn(
+        "key", F.monotonically_increasing_id()), "queries")  # a number for each query row
     parts = max(1, -(-asked.count() // TASK_QUERIES))
     if probe is None:
         tune = asked.orderBy(F.xxhash64("id"), "id").limit(TUNE_QUERIES).toArrow()
@@ -232,27 +239,29 @@ def neighbours(df: DataFrame, queries: DataFrame, id_col: str = "vec_id",
     def route(batches):
         one, two = shared.value
         for batch in batches:
-            out = {"task": [], "id": [], "vector": [], "least": []}
+            out = {"task": [], "key": [], "id": [], "vector": [], "least": []}
             m = _matrix(batch.column("vector"))
-            for q, vector in zip(batch.column("id").to_pylist(), m, strict=True):
+            for key, q, vector in zip(batch.column("key").to_pylist(),
+                                      batch.column("id").to_pylist(), m, strict=True):
                 first, second = one @ vector[:half], two @ vector[half:]
                 walked = walk(first, second, cells.value, probe)
                 least = first[walked[-1] // width] + second[walked[-1] % width]
                 for task in {unit_task(cell, sub) for cell in walked
                              for sub in range(-(-int(cells.value[cell]) // UNIT))}:
-                    for name, x in zip(out, (task, q, vector, least), strict=True):
+                    for name, x in zip(out, (task, key, q, vector, least), strict=True):
                         out[name].append(x)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(out["task"], pa.int64()), pa.array(out["id"], pa.int64()),
+                [pa.array(out["task"], pa.int64()), pa.array(out["key"], pa.int64()),
+                 pa.array(out["id"], pa.int64()),
                  pa.array(out["vector"], pa.list_(pa.float64())),
                  pa.array(out["least"], pa.float64())], names=list(out))
 
     routed = asked.mapInArrow(
-        route, "task long, id long, vector array<double>, least double").withColumn(
-        "part", F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int"))
+        route, "task long, key long, id long, vector array<double>, least double").withColumn(
+        "part", F.pmod(F.xxhash64("key"), F.lit(parts)).cast("int"))
 
     def rerank(vectors: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
-        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+        found = [(*(np.zeros(0, np.int64) for _ in range(3)), np.zeros(0))]
         if len(vectors) and len(wanted):
             one, two = shared.value
             vectors = vectors.sort_values("cell", kind="stable")
@@ -262,7 +271,8 @@ def neighbours(df: DataFrame, queries: DataFrame, id_col: str = "vec_id",
             longest = np.sqrt(np.square(m).sum(axis=1).max())
             for lo in range(0, len(wanted), BLOCK):
                 block = wanted.iloc[lo:lo + BLOCK]
-                own, q = block["id"].to_numpy(), np.stack(block["vector"].to_numpy())
+                key, own = block["key"].to_numpy(), block["id"].to_numpy()
+                q = np.stack(block["vector"].to_numpy())
                 slack = 1e-9 * longest * np.sqrt(np.square(q).sum(axis=1))
                 # A query wants the cells that its walk passed: those not below its last.
                 near = (one @ q[:, :half].T)[cell // width] + (two @ q[:, half:].T)[cell % width]
@@ -274,13 +284,14 @@ def neighbours(df: DataFrame, queries: DataFrame, id_col: str = "vec_id",
                 for n in range(len(q)):
                     score[n, names == own[n]] = -np.inf
                     best, exact = _best(score[n], names, m, q[n], slack[n], k)
-                    found.append((np.full(len(best), own[n]), names[best], exact))
+                    found.append((np.full(len(best), key[n]), np.full(len(best), own[n]),
+                                  names[best], exact))
         return pd.DataFrame(dict(zip(
-            ("query_id", "vec_id", "score"), map(np.concatenate, zip(*found, strict=True)), strict=True)))
+            ("key", "query_id", "vec_id", "score"), map(np.concatenate, zip(*found, strict=True)), strict=True)))
 
     some = units.groupBy("task", "part").cogroup(routed.groupBy("task", "part")).applyInPandas(
-        rerank, "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        rerank, "key long, query_id long, vec_id long, score double")
+    order = Window.partitionBy("key").orderBy(F.desc("score"), "vec_id")
     return some.withColumn("rank", F.row_number().over(order)).filter(
         F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

@@ -6,7 +6,7 @@ import io
 import math
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -283,6 +283,22 @@ def test_neighbours_with_copies_and_odd_vectors(llm):
     assert multi_index.neighbours(frame.limit(0), frame).count() == 0
 
 
+def test_neighbours_of_repeated_identifiers(llm):
+    """Many rows of one identifier and vector; a query row that is there twice."""
+    rng = np.random.default_rng(8)
+    hot, other = [1.0] * 8, (-np.ones(8)).tolist()
+    rows = [(20, hot)] * 25 + [(k, hot) for k in range(21, 41)] + [(60, other)] * 2
+    rows += [(100 + k, rng.normal(size=8).round(3).tolist()) for k in range(60)]
+    frame = llm.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = multi_index.neighbours(frame, frame.filter("vec_id in (20, 21, 60)"), probe=10_000)
+    want = Counter()
+    for q, v in rows:
+        if q in (20, 21, 60):
+            near = sorted((-float((np.array(e) * v).sum()), i) for i, e in rows if i != q)[:20]
+            want.update((q, n + 1, i) for n, (_, i) in enumerate(near))
+    assert Counter((r.query_id, r.rank, r.vec_id) for r in got.collect()) == want
+
+
 def test_walk_is_long_enough_for_the_recall(llm, monkeypatch):
     """Vectors without structure, most of which a short walk would not see; queries in parts."""
     monkeypatch.setattr(multi_index, "LEAST_PROBE", 40)
