@@ -31,6 +31,8 @@ compared by two such sums and their size. Identifiers may repeat.
 
 Defined results: null, empty or blank texts have no shingles and link with
 nothing; a text of fewer words than a shingle is one shingle of all its words.
+Rows without an identifier link like others; a component has the smallest
+identifier that is not null, and null if all are.
 """
 
 from __future__ import annotations
@@ -41,7 +43,7 @@ from itertools import groupby
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from accounthealth.llm.components import components
@@ -437,17 +439,18 @@ def _id_marks(ids: DataFrame) -> np.ndarray:
 def _searchable(rows: DataFrame, size: int, percent: int) -> tuple[DataFrame, ...]:
     """The classes of every row, the distinct classes, and the members and sets of the blocks."""
     spark = rows.sparkSession
-    found = staged(set_classes(rows.withColumn("row", F.lit(None).cast("string")), size)
-                   .drop("row"), "classes")
+    key = F.xxhash64("id", "text")  # finds a class's set again; never null
+    found = staged(set_classes(rows.withColumn("row", key), size), "classes")
     classes = found.filter("n > 0").groupBy("k1", "k2", "n").agg(
-        F.min("id").alias("rep"), F.count(F.lit(1)).alias("size"))
+        F.min("id").alias("rep"), F.min("row").alias("key"), F.count(F.lit(1)).alias("size"))
+    found = found.drop("row")
     bits = _bucket_bits(rows)
-    texts = rows.select("id", "text")
+    texts = rows.select(key.alias("id"), "text")
     marks = spark.sparkContext.broadcast(long_list_marks(texts, bits, size))
     edges = candidate_edges(postings(texts, marks, bits, size, percent), marks, bits, percent)
     blocks = components(edges)
     members = staged(blocks.join(classes, blocks.node == classes.k1)
-                     .select(F.col("rep").alias("id"), "k1", "n", "size",
+                     .select(F.col("key").alias("id"), "k1", "n", "size",
                              F.col("component").alias("block")), "members")
     wanted = spark.sparkContext.broadcast(_id_marks(members))
 
@@ -465,7 +468,7 @@ def _searchable(rows: DataFrame, size: int, percent: int) -> tuple[DataFrame, ..
 
     place = F.shiftrightunsigned(F.xxhash64("id"), 64 - MARK_BITS).cast("int")
     sets = texts.withColumn("place", place).mapInArrow(
-        sets_of, f"id {dict(rows.dtypes)['id']}, k1 long, values binary")
+        sets_of, "id long, k1 long, values binary")
     return found, classes, members, sets
 
 
@@ -477,7 +480,7 @@ def _rows(df: DataFrame, id_col: str, text_col: str, carry: bool = False) -> Dat
 def linked(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE,
            percent: int = PERCENT, carry: bool = False, links: bool = False) -> DataFrame:
     """``id, n_shingles, component_id`` for every row (and ``n_links`` if ``links``,
-    ``row`` if ``carry``)."""
+    ``row`` and a key of the component, ``joined``, if ``carry``)."""
     rows = _rows(df, id_col, text_col, carry)
     found, classes, members, sets = _searchable(rows, size, percent)
     edges = staged(links_of_blocks(members, sets, percent), "links")
@@ -488,16 +491,18 @@ def linked(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size:
     named = classes.join(joined.join(held, "node"), classes.k1 == F.col("node")).select(
         "k1", "k2", "n", "rep", "component", "links")
     smallest = named.groupBy("component").agg(F.min("rep").alias("smallest"))
-    named = named.join(smallest, "component").select("k1", "k2", "n", "smallest", "links")
+    named = named.join(smallest, "component").select("k1", "k2", "n", "smallest", "links",
+                                                    "component")
     label = classes.join(named, ["k1", "k2", "n"], "left").select(
         "k1", "k2", "n", F.coalesce("smallest", "rep").alias("label"),
-        (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("links"))
+        (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("links"),
+        F.coalesce("component", "k1").alias("joined"))
     source = found if not carry else set_classes(rows, size)
     return source.join(label, ["k1", "k2", "n"], "left").select(
         "id", F.col("n").cast("long").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("label")).otherwise(F.col("id")).alias("component_id"),
         *([F.coalesce("links", F.lit(0)).alias("n_links")] if links else []),
-        *(["row"] if carry else []))
+        *(["row", "joined"] if carry else []))
 
 
 def class_links(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE,
@@ -514,7 +519,15 @@ def op9_ngram_join(spark, sf_dir: str) -> DataFrame:
 
 
 def group_heads(docs: DataFrame) -> DataFrame:
-    """One document of each group, its smallest identifier, with the columns of ``docs``."""
+    """One document of each group, its smallest identifier, with the columns of ``docs``.
+
+    Of rows that share that identifier one stays, by their other columns. Texts
+    without shingles are in no group and stay.
+    """
     rows = linked(docs, carry=True).filter(F.col("id").eqNullSafe(F.col("component_id")))
+    alone = F.when(F.col("n_shingles") == 0, F.monotonically_increasing_id())
+    rows = rows.withColumn("alone", alone)
+    order = Window.partitionBy("joined", "alone").orderBy(F.xxhash64("row"), "row")
+    rows = rows.withColumn("nth", F.row_number().over(order)).filter("nth = 1")
     return rows.select(*[F.col("id").alias(c) if c == "doc_id" else F.col("row").getField(c).alias(c)
                          for c in docs.columns])

@@ -182,6 +182,76 @@ def test_group_heads(docs_of):
     assert ngram_join.group_heads(docs_of([])).count() == 0
 
 
+def null_and_repeated_ids():
+    """Near copies that share the smallest identifier, or have none, and a bridge without one."""
+    base = [f"g{k}" for k in range(80)]
+
+    def text(at, new, words=base):
+        return " ".join(words[:at] + [new] + words[at + 1:])
+
+    other, chain = ([f"{c}{k}" for k in range(80)] for c in "hc")
+    moved = [chain]
+    for k in range(2):  # each near the one before only
+        moved.append([f"m{k}" if n % 40 == 10 + 20 * k else w for n, w in enumerate(moved[-1])])
+    return awkward(14) + [
+        (200, text(10, "x"), "s"), (200, text(40, "y"), "s"), (201, text(60, "z"), "s"),
+        (None, text(20, "n"), "s"), (None, text(5, "p", other), "s"),
+        (None, text(70, "q", other), "s"), (None, "a text that nobody repeats at all", "s"),
+        (None, None, "s"), (None, " ", "s"), (202, " ".join(moved[0]), "s"),
+        (None, " ".join(moved[1]), "s"), (203, " ".join(moved[2]), "s")]
+
+
+def groups_of(rows):
+    """Lists of row numbers that are joined by links; rows without shingles alone."""
+    sets = shingle_sets(rows)
+    group = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            if near(sets[a], sets[b]):
+                old, new = group[a], group[b]
+                group = [new if g == old else g for g in group]
+    out = defaultdict(list)
+    for k, g in enumerate(group):
+        out[g].append(k)
+    return list(out.values())
+
+
+def test_group_heads_of_null_and_repeated_ids(docs_of):
+    """Rows, not identifiers: one stays of each group."""
+    rows = null_and_repeated_ids()
+    got = [(r.doc_id, r.text, r.source) for r in ngram_join.group_heads(docs_of(rows)).collect()]
+    groups = groups_of(rows)
+    assert len(got) == len(groups)
+    left = Counter(got)
+    for group in groups:
+        ids = [rows[k][0] for k in group if rows[k][0] is not None]
+        heads = {rows[k] for k in group if rows[k][0] == (min(ids) if ids else None)}
+        head = [h for h in heads if left[h]]
+        assert len(head) == 1 and not any(left[rows[k]] for k in group if rows[k] not in heads)
+    sets = shingle_sets(rows)
+    links = ngram_join.linked(docs_of(rows), links=True).collect()
+    assert Counter((r.id, r.n_shingles, r.n_links) for r in links) == Counter(
+        (i, len(s), sum(near(s, t) for t in sets) - bool(s))
+        for (i, _, _), s in zip(rows, sets, strict=True))
+
+
+def test_pipeline_stages_of_null_and_repeated_ids(docs_of, llm):
+    """Exact and near copies dropped one after the other, as the pipeline does."""
+    import corpus_pipeline
+
+    rows, stages = null_and_repeated_ids(), dict(corpus_pipeline.STAGES)
+    docs = corpus_pipeline.staged(stages["exact_dedup"](llm, docs_of(rows), ""), "exact")
+    kept = [(r.doc_id, r.text, r.source) for r in docs.collect()]
+    assert Counter(t or "" for _, t, _ in kept) == Counter({t or "" for _, t, _ in rows})
+    got = [(r.doc_id, r.text, r.source) for r in stages["ngram_join"](llm, docs, "").collect()]
+    groups = groups_of(kept)
+    assert len(got) == len(groups) and not Counter(got) - Counter(kept)
+    for group in groups:
+        ids = [kept[k][0] for k in group if kept[k][0] is not None]
+        heads = {kept[k] for k in group if kept[k][0] == (min(ids) if ids else None)}
+        assert sum(g in heads for g in got) == 1
+
+
 def without_repeats(rows, length=35):
     texts = [words(t) for _, t, _ in rows]
     seen = Counter(tuple(w[k:k + length]) for w in texts for k in range(len(w) - length + 1))
