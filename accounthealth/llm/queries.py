@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from accounthealth.llm import (
     exact_dedup,
+    filter_audit,
+    merkle,
     mixing,
     multi_index,
     ngram_join,
@@ -26,10 +28,14 @@ QUERIES = {
     "op8_mixing": mixing.op8_mixing,
     "op9_ngram_join": ngram_join.op9_ngram_join,
     "op10_substring_dedup": substring_fm.op10_substring_dedup,
+    "op11_merkle": merkle.op11_merkle,
+    "op13_filter_audit": filter_audit.op13_filter_audit,
 }
 
 SQL = {
     "op2_sharding": sharding.OP2_SQL,
     "op5_exact_dedup": exact_dedup.OP5_SQL,
     "op8_mixing": mixing.OP8_SQL,
+    "op11_merkle": merkle.OP11_SQL,
+    "op13_filter_audit": filter_audit.OP13_SQL,
 }
