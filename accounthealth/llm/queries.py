@@ -10,6 +10,7 @@ from accounthealth.llm import (
     multi_index,
     ngram_join,
     packing,
+    retrieval_packing,
     sentencepieces,
     sharding,
     substring_fm,
@@ -29,6 +30,7 @@ QUERIES = {
     "op9_ngram_join": ngram_join.op9_ngram_join,
     "op10_substring_dedup": substring_fm.op10_substring_dedup,
     "op11_merkle": merkle.op11_merkle,
+    "op12_packing": retrieval_packing.op12_packing,
     "op13_filter_audit": filter_audit.op13_filter_audit,
 }
 
