@@ -2,8 +2,9 @@
 
 Payload digests are counted with built-in functions; of records with equal
 payloads the smallest identifier is the response and the others revisit it, so
-a hot payload is written once. Rows are then dealt by identifier and each task
-streams its rows into archives: a Zstandard dictionary is built from the first
+a hot payload is written once. The join with these decisions is the payloads' only
+exchange: it deals rows by identifier and digest, and each task streams its rows
+into archives: a Zstandard dictionary is built from the first
 records (a bounded sample), stored in a leading skippable frame, and every
 record becomes a frame of its own that can be read alone.
 
@@ -194,8 +195,8 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
             nth += 1
             yield pa.RecordBatch.from_pylist([{"file": name, "records": n, "bytes": raw}])
 
-    sorted_rows = rows.repartition("page_id", "digest").sortWithinPartitions(
-        "page_id", "digest", "url")
+    # The join has dealt the rows by identifier and digest, or left them where they were read.
+    sorted_rows = rows.sortWithinPartitions("page_id", "digest", "url")
     return sorted_rows.mapInArrow(write, "file string, records long, bytes long")
 
 
