@@ -11,14 +11,18 @@ once for each distinct segment of a chunk, many segments at a time. It gives
 the best path and, with the backward pass, the loss of the second best. The
 N best paths of a text differ from the best in the N - 1 segments of least loss
 only; there the backward A-star search runs, whose heuristic, the forward
-Viterbi score, is exact: paths leave the heap in order of their total score.
+Viterbi score, is exact: paths leave the heap in order of their total score, and
+an offset is visited N times at most. A segment's edges, scores and search are
+linear in its length, so one very long run without spaces takes a task longer
+but no more than a few hundred bytes a character.
 
 A space is added before a text and taken off by decoding, which restores every
 text byte by byte. Ties: the longer last piece wins; of segments of equal loss
 the earlier one changes.
 
 Defined results: null and empty texts have no pieces, score 0 and one
-segmentation; decoding them gives the empty text.
+segmentation; decoding them gives the empty text. Rows that repeat are encoded
+each; an empty table has no rows. Columns of any name pass through in ``row``.
 """
 
 from __future__ import annotations
@@ -26,6 +30,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import math
+from array import array
 from dataclasses import dataclass
 
 import numpy as np
@@ -55,6 +60,7 @@ class Vocabulary:
     unknown: float  # score of an edge that falls back to bytes
 
     def __post_init__(self):
+        self.edge_scores = [*self.scores.tolist(), self.unknown]  # the last one for piece -1
         control = set(self.byte_ids.tolist())
         self.index = {p: i for i, p in enumerate(self.pieces) if p and i not in control}
         self.longest = max(map(len, self.index))
@@ -126,70 +132,122 @@ def _char_length(lead: int) -> int:
     return 1 if lead < 0x80 else 2 if lead < 0xE0 else 3 if lead < 0xF0 else 4
 
 
-def lattice(v: Vocabulary, segment: bytes) -> list[list[tuple[int, int, float]]]:
-    """For each end offset, the edges (start, piece id or -1, score) that end there."""
-    ends = [[] for _ in range(len(segment) + 1)]
-    for i in range(len(segment)):
-        if segment[i] & 0xC0 == 0x80:
-            continue
-        char = i + _char_length(segment[i])
-        for j in range(i + 1, min(len(segment), i + v.longest) + 1):
-            piece = v.index.get(segment[i:j])
-            if piece is not None:
-                ends[j].append((i, piece, float(v.scores[piece])))
-            elif j == char:
-                ends[j].append((i, -1, v.unknown))
-        if char > i + v.longest:
-            ends[char].append((i, -1, v.unknown))
-    return ends
-
-
-def forward(ends) -> list[float]:
-    best = [0.0] + [-math.inf] * (len(ends) - 1)
-    for j in range(1, len(ends)):
-        for i, _, s in ends[j]:
-            best[j] = max(best[j], best[i] + s)
+class Lattice:
+    """The edges of a segment in flat arrays: those that end at offset j are
+    ``first[j]:first[j + 1]``, the longest first; piece -1 falls back to bytes."""
+
+    def __init__(self, v: Vocabulary, segment: bytes):
+        self.v, self.segment = v, segment
+        self.first, self.start, self.piece = array("q", [0]), array("q"), array("i")
+        index, longest, size = v.index, max(v.longest, 4), len(segment)
+        for j in range(size + 1):
+            if j and (j == size or segment[j] & 0xC0 != 0x80):
+                for i in range(max(0, j - longest), j):
+                    lead = segment[i]
+                    if lead & 0xC0 == 0x80:
+                        continue
+                    piece = index.get(segment[i:j])
+                    if piece is not None:
+                        self.start.append(i), self.piece.append(piece)
+                    elif j == i + _char_length(lead):
+                        self.start.append(i), self.piece.append(-1)
+            self.first.append(len(self.start))
+
+    def into(self, j: int):
+        """(start, piece, score) of the edges that end at j."""
+        a, b, scores = self.first[j], self.first[j + 1], self.v.edge_scores
+        return [(i, p, scores[p]) for i, p in zip(self.start[a:b], self.piece[a:b], strict=True)]
+
+    def ids(self, edges) -> list[int]:
+        """Piece ids of edges (start, end, piece) in text order."""
+        out = []
+        for i, j, piece in edges:
+            out += [piece] if piece >= 0 else self.v.byte_ids[list(self.segment[i:j])].tolist()
+        return out
+
+
+def forward(lattice: Lattice) -> list[float]:
+    best = [0.0] + [-math.inf] * len(lattice.segment)
+    for j in range(1, len(best)):
+        for i, _, s in lattice.into(j):
+            if best[i] + s > best[j]:
+                best[j] = best[i] + s
     return best
 
 
-def n_best(v: Vocabulary, segment: bytes, n: int) -> list[tuple[float, list[int]]]:
-    """The n best (score, ids) of a segment, best first: A-star from its end."""
-    ends = lattice(v, segment)
-    best = forward(ends)
-    heap = [(-best[-1], 0, len(segment), 0.0, None)]
-    out, pushed = [], 0
+def n_best(v: Vocabulary, segment: bytes, n: int,
+           lattice: Lattice | None = None) -> list[tuple[float, list[int]]]:
+    """The n best (score, ids) of a segment, best first: A-star from its end.
+
+    The heuristic is exact, so the k-th visit of an offset has its k-th best
+    end: no more than n visits can matter. A visit puts its best edge into the heap,
+    and each edge taken out its next best, so the heap grows by two at most.
+    """
+    lattice = lattice or Lattice(v, segment)
+    best, size = forward(lattice), len(segment)
+    # Of a path's beginning (offset, score so far, path it extends, edge): flat, by number.
+    at, tail, behind, edge = [size], [0.0], [-1], [(0, 0, 0)]
+    visits, sorted_edges = {size: 1}, {}
+
+    def edges(j):
+        if j not in sorted_edges:
+            sorted_edges[j] = sorted(((best[i] + s, i, p, s) for i, p, s in lattice.into(j)),
+                                     key=lambda e: -e[0])
+        return sorted_edges[j]
+
+    heap, pushed, out = [], 0, []
+
+    def push(path, nth):
+        nonlocal pushed
+        known = edges(at[path])
+        if nth < len(known):
+            pushed += 1
+            # of equal totals the one nearest to the segment's start goes on
+            heapq.heappush(heap, (-(known[nth][0] + tail[path]), known[nth][1], pushed, path, nth))
+
+    if not size:
+        return [(0.0, [])]
+    push(0, 0)
     while heap and len(out) < n:
-        _, _, at, tail, path = heapq.heappop(heap)
-        if at == 0:
-            ids = []
-            while path:
-                start, stop, piece, path = path
-                ids.extend([piece] if piece >= 0 else v.byte_ids[list(segment[start:stop])].tolist())
-            out.append((tail, ids))
+        _, i, _, path, nth = heapq.heappop(heap)
+        push(path, nth + 1)
+        if visits.get(i, 0) >= n:
             continue
-        for i, piece, s in ends[at]:
-            pushed += 1
-            heapq.heappush(heap, (-(best[i] + s + tail), pushed, i, tail + s, (i, at, piece, path)))
+        visits[i] = visits.get(i, 0) + 1
+        _, _, piece, s = edges(at[path])[nth]
+        at.append(i), tail.append(tail[path] + s), behind.append(path)
+        edge.append((i, at[path], piece))
+        own = len(at) - 1
+        if i:
+            push(own, 0)
+            continue
+        steps, k = [], own
+        while behind[k] >= 0:
+            steps.append(edge[k])
+            k = behind[k]
+        out.append((tail[own], lattice.ids(steps)))
     return out
 
 
 def _best_alone(v: Vocabulary, segment: bytes) -> tuple[float, float, list[int]]:
     """(best score, loss of the second best path, ids) by a plain loop."""
-    ends = lattice(v, segment)
-    best = forward(ends)
-    back = [-math.inf] * len(segment) + [0.0]
-    for j in range(len(segment), 0, -1):
-        for i, _, s in ends[j]:
-            back[i] = max(back[i], s + back[j])
-    chosen, ids, j = set(), [], len(segment)
+    lattice = Lattice(v, segment)
+    best, size = forward(lattice), len(segment)
+    steps, j = [], size
     while j:
-        i, piece, s = min(e for e in ends[j] if best[e[0]] + e[2] == best[j])  # longest
-        chosen.add((i, j))
-        ids.extend([piece] if piece >= 0 else v.byte_ids[list(segment[i:j])].tolist()[::-1])
+        i, piece = next((i, p) for i, p, s in lattice.into(j) if best[i] + s == best[j])  # longest
+        steps.append((i, j, piece))
         j = i
-    other = max((best[i] + s + back[j] for j in range(1, len(ends)) for i, _, s in ends[j]
-                 if (i, j) not in chosen), default=-math.inf)
-    return best[-1], best[-1] - other, ids[::-1]
+    chosen = {(i, j) for i, j, _ in steps}
+    back = [-math.inf] * size + [0.0]
+    other = -math.inf
+    for j in range(size, 0, -1):
+        for i, _, s in lattice.into(j):
+            if s + back[j] > back[i]:
+                back[i] = s + back[j]
+            if (i, j) not in chosen and best[i] + s + back[j] > other:
+                other = best[i] + s + back[j]
+    return best[-1], best[-1] - other, lattice.ids(reversed(steps))
 
 
 # ---- many segments of one length
@@ -299,7 +357,8 @@ def encode_chunk(v: Vocabulary, chunk, n: int):
             begin[part] = used + np.cumsum(count[part]) - count[part]
             ids_of.append(table[has])
             used += int(count[part].sum())
-    ids = _ragged(np.concatenate(ids_of), begin[which], count[which])
+    flat_ids = np.concatenate(ids_of)
+    ids = _ragged(flat_ids, begin[which], count[which])
     total = np.r_[0, np.cumsum(count[which])]
     first = np.searchsorted(start, edges)
     kept, nbest = {}, []
@@ -315,8 +374,11 @@ def encode_chunk(v: Vocabulary, chunk, n: int):
             near = np.flatnonzero(own <= limit)
             for s in near[np.argsort(own[near], kind="stable")][:n - 1]:
                 g = int(which[a + s])
-                if g not in kept:
-                    kept[g] = n_best(v, data[start[where[g]]:][:lens[g]].tobytes(), n)
+                if g not in kept:  # the best one as found above, then those that differ
+                    own_ids = flat_ids[begin[g]:begin[g] + count[g]].tolist()
+                    paths = n_best(v, data[start[where[g]]:][:lens[g]].tobytes(), n)
+                    kept[g] = [(paths[0][0], own_ids),
+                               *[p for p in paths if p[1] != own_ids][:n - 1]]
                 base_loss = kept[g][0][0]
                 spot = (int(total[a + s] - total[a]), int(count[g]))
                 found = sorted(

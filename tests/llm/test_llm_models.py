@@ -5,6 +5,7 @@ import hashlib
 import io
 import math
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -123,12 +124,12 @@ def vocabulary():
 
 
 def every_path(v, segment):
-    ends = sentencepieces.lattice(v, segment)
+    lattice = sentencepieces.Lattice(v, segment)
 
     def paths(j):
         if j == 0:
             yield 0.0, ()
-        for i, piece, score in ends[j]:
+        for i, piece, score in lattice.into(j):
             for total, path in paths(i):
                 yield total + score, (*path, (i, j, piece))
 
@@ -158,6 +159,40 @@ def test_n_best_of_a_text_against_all_paths(vocabulary):
     assert [s for s, _, _ in nbest[0]] == pytest.approx([s for s, _ in brute[:4]])
 
 
+@pytest.mark.parametrize("text,limit", [("a" * 5000, 5), ("ab" * 5000, 5), ("." * 20_000, 10),
+                                        ("".join(chr(97 + k * k % 26) for k in range(60_000)), 30)])
+def test_n_best_of_long_runs_is_quick(vocabulary, text, limit):
+    """Equal scores by the thousand: the visits of an offset are bounded."""
+    began = time.process_time()
+    found = sentencepieces.n_best(vocabulary, b" " + text.encode(), 3)
+    assert time.process_time() - began < limit
+    assert len({tuple(ids) for _, ids in found}) == 3
+    assert all(sentencepieces.decode_ids(vocabulary, ids) == text for _, ids in found)
+    assert [s for s, _ in found] == sorted((s for s, _ in found), reverse=True)
+
+
+def test_n_best_of_ties_against_all_paths():
+    """A vocabulary of equal scores: nearly every path ties with others."""
+    pieces = [b"a", b"aa", b"aaa", b"b", b"ab", b" ", b" a"] + [bytes([k]) for k in range(256)]
+    v = sentencepieces.Vocabulary(pieces, np.full(len(pieces), -1.0), np.arange(7, 263), -9.0)
+    for text in (b" aaaaaa", b" abaab", b" b", b"aab c"):
+        brute = every_path(v, text)
+        for n in (1, 3, 8):
+            found = sentencepieces.n_best(v, text, n)
+            assert [s for s, _ in found] == [s for s, _ in brute[:n]]
+            assert len({tuple(ids) for _, ids in found}) == len(found)
+
+
+def test_changes_differ_from_the_best(vocabulary):
+    """Of tied paths the best one comes once, whatever the search finds first."""
+    for text in ("aaaa aaaa", "." * 300, "abababab " * 3):
+        chunk = next(chunks(pa.array([text])))
+        ids, edges, nbest = sentencepieces.encode_chunk(vocabulary, chunk, 4)
+        every = [tuple(sentencepieces._changed(ids, c)) for _, _, c in nbest[0]]
+        assert len(set(every)) == len(every) and every[0] == tuple(ids.tolist())
+        assert all(sentencepieces.decode_ids(vocabulary, x) == text for x in every)
+
+
 def test_round_trip(docs_of, vocabulary):
     texts = [None, "", " ", "  a▁b ", "\n\n", "café \U0001f600\u0000 x", "word " * 3000,
              "y" * 30_000, "▁", "<0x41></s>", " lead", "trail "]
@@ -253,6 +288,30 @@ def test_pages_come_back(llm):
     assert warc.read_archives(none, empty).count() == 0
 
 
+def test_pages_of_null_and_repeated_identifiers(llm):
+    """Each row comes back: nulls, repeats of the smallest identifier, a very long page, and
+    columns whose names the operator uses."""
+    long = "<p>" + "x" * 3_000_000
+    rows = [(None, "u", "a"), (3, "u", "a"), (3, "v", "a"), (5, "u", "a"), (None, None, "alone"),
+            (None, "w", "alone"), (7, "u", long), (6, None, long), (2, "u", ""), (1, "u", None)]
+    frame = llm.createDataFrame([(*r, "d", 1) for r in rows],
+                                "page_id long, url string, html string, digest string, size int")
+    folder = warc.new_folder(llm, "warc-test")
+    files = warc.staged(warc.write_archives(frame, folder), "warc-files")
+    got = Counter((r.page_id, r.url, r.payload_bytes, r.record_type, r.refers_to)
+                  for r in warc.read_archives(files, folder).collect())
+    heads = {}
+    for i, _, h in rows:
+        if i is not None:
+            heads[h or ""] = min(i, heads.get(h or "", i))
+    want = Counter()
+    for i, u, h in rows:
+        head = heads.get(h or "")
+        kind = ("response", None) if i == head else ("revisit", head)
+        want[i, u, len((h or "").encode()), *kind] += 1
+    assert got == want
+
+
 # ---- neighbours
 
 def test_walk_is_in_order_of_summed_score():
@@ -343,7 +402,7 @@ def test_queries_match_their_sql(llm):
     from accounthealth.llm.queries import QUERIES, SQL
 
     con = duckdb.connect()
-    for name in ("documents", "pages"):
+    for name in ("documents", "pages", "labels"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF0001}/{name}.parquet'")
     for key, sql in SQL.items():
         frame = QUERIES[key](llm, SF0001)
