@@ -47,7 +47,7 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 END = 1
 ROW = 2048
-SHARD_TOKENS = 1 << 19
+SHARD_TOKENS = 1 << 18
 UNIT_TOKENS = 64  # what a unit counts besides its tokens, so that a shard's units are bounded too
 BATCH_TOKENS = 1 << 21  # tokens handed on at once
 K1, B = 1.2, 0.75  # the usual parameters of BM25
@@ -220,7 +220,8 @@ class Index:
     def scores(self, unit: int) -> np.ndarray:
         """The score of every unit for the tokens of ``unit``; used ones -1."""
         lists = self.place[self.first[unit]:self.first[unit + 1]]
-        begin, many = self.edges[lists], np.diff(self.edges)[lists]
+        begin = self.edges[lists]
+        many = self.edges[lists + 1] - begin
         at = np.arange(many.sum()) + np.repeat(begin - np.cumsum(many) + many, many)
         out = np.bincount(self.unit[at], weights=self.weight[at], minlength=len(self.used))
         out[self.used] = -1

@@ -36,7 +36,7 @@ def awkward():
     return rows
 
 
-@pytest.mark.parametrize("row,shard", [(64, 700), (2048, 1 << 19), (2, 50)])
+@pytest.mark.parametrize("row,shard", [(64, 700), (2048, 1 << 18), (2, 50)])
 def test_every_id_in_one_piece(docs_of, exact, row, shard):
     rows = awkward()
     got = rp.packed_pieces(docs_of([(i, t, "s") for i, t in rows]), row=row,
