@@ -1,13 +1,15 @@
 """Toxicity scores from a small bidirectional gated recurrent network (numpy).
 
 Inputs, one step a word: a trained word vector (hashed table, letters folded)
-and two character inputs, the strongest evidence among the word's character
-4-grams and 5-grams. The evidence tables and the first component of the word
-vectors start from shrunken log-odds of the labelled sample. A gated recurrent
-layer runs in both directions over a window, attention pools its states, and a
-logistic unit gives the window's probability. A document's score is the
-largest over all its overlapping windows; the last window ends at the last
-word, so every word of every text is scored.
+and two trained character inputs, the strongest evidence among the word's
+character 4-grams and 5-grams. The evidence tables and the first component of
+the word vectors start from shrunken log-odds of the labelled sample; all of
+them are moved by the network's gradients. A gated recurrent layer runs in both
+directions over a window, attention pools its states, and a logistic unit gives
+the window's probability. A document's score is the largest over all its
+overlapping windows, one at every word, so it does not depend on where a passage
+stands; a text shorter than a window is one window. What the network makes of
+one word's input alone is computed once for the windows that share the word.
 
 Training sees only document labels: in each round the highest windows of each
 document are chosen with the current network and the network is fitted to them
@@ -15,9 +17,11 @@ document are chosen with the current network and the network is fitted to them
 ``max_positive`` and ``max_negative`` labelled documents, chosen by a hash of
 the identifier. Labels, language, source and identifier are never inputs.
 
-Defined results: a null, empty or blank text scores 0. Labels that repeat an
-identifier count as toxic if one of them is 1; null labels are left out. If
-the sample lacks one of the classes every score is 0.
+Defined results: a null, empty or blank text scores 0, a very long one like any
+other, window by window. Rows that repeat are scored each; a null identifier is
+scored and counts as not held out. Labels that repeat an identifier count as
+toxic if one of them is 1; null labels are left out. If the sample lacks one of
+the classes every score is 0. An empty table has no rows.
 """
 
 from __future__ import annotations
@@ -35,7 +39,7 @@ from pyspark.sql import types as T
 from accounthealth.llm.frames import packed
 from accounthealth.llm.textbytes import BYTE_VALUES, LOWER, IS_SPACE, Chunk, chunks, word_values
 
-WINDOW, STRIDE = 40, 32  # words
+WINDOW = 12  # words
 UNITS, WORD_DIMS = 8, 4
 GRAM_BITS = 18
 WORD_ROWS, GRAM_ROWS = 1 << 15, 1 << GRAM_BITS
@@ -44,7 +48,7 @@ MAX_POSITIVE, MAX_NEGATIVE = 1200, 3600
 TRAIN_BYTES = 1 << 20  # of text worked on at once while fitting
 THRESHOLD = 0.7
 BATCH = 128  # windows of a training step, half of them from toxic texts
-LANES = 1024  # windows that step together
+LANES = 2048  # windows that step together
 
 
 @dataclass
@@ -86,6 +90,20 @@ def word_rows(chunk: Chunk) -> np.ndarray:
     return (word_values(chunk, fold=True) >> np.uint64(49)).astype(np.int64)
 
 
+def best_grams(model: Model, chunk: Chunk) -> list[np.ndarray]:
+    """For each n of GRAMS the table row of every word's strongest n-gram (GRAM_ROWS: none)."""
+    out = []
+    for table, rows in zip(model.grams, gram_rows(chunk), strict=True):
+        value = table[rows]
+        best = np.maximum.reduceat(value, chunk.start)
+        # the word's first byte with that value
+        word = np.repeat(np.arange(len(chunk.start)), np.diff(np.r_[chunk.start, len(value)]))
+        at = np.flatnonzero(value[chunk.start[0]:] == best[word]) + chunk.start[0]
+        first = np.searchsorted(at, chunk.start)
+        out.append(rows[at[first]])
+    return out
+
+
 def features(model: Model, chunk: Chunk) -> np.ndarray:
     """One row of inputs for each word of the chunk, and a last row of zeros."""
     n = len(chunk.start)
@@ -100,14 +118,13 @@ def features(model: Model, chunk: Chunk) -> np.ndarray:
 
 
 def window_starts(first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, length, text) of the windows of the texts with words first[k]:first[k+1]."""
+    """(start, length, text) of the windows of the texts with words first[k]:first[k+1]: one at
+    each word that a whole window begins with, one for a shorter text."""
     count = np.diff(first)
-    more = np.maximum(0, -(-(count - WINDOW) // STRIDE))
-    per = np.where(count > 0, 1 + more, 0)
+    per = np.where(count > 0, np.maximum(1, count - WINDOW + 1), 0)
     text = np.repeat(np.arange(len(count)), per)
     nth = np.arange(per.sum()) - np.repeat(np.cumsum(per) - per, per)
-    offset = np.minimum(nth * STRIDE, np.maximum(0, count[text] - WINDOW))
-    return first[text] + offset, np.minimum(count[text], WINDOW), text
+    return first[text] + nth, np.minimum(count[text], WINDOW), text
 
 
 # ---- the network
@@ -143,46 +160,89 @@ def start_params(rng: np.random.Generator) -> dict[str, np.ndarray]:
     return {k: v.astype(np.float32) for k, v in out.items()}
 
 
-def window_logits(p: dict, inputs: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
-    """Logits of windows over word inputs whose last row is padding.
+def _step(p: dict, way: str):
+    """(recurrence of one step, weights of attention and output) of one direction."""
+    inner = np.ascontiguousarray(p[f"h{way}"].T)
+    side = slice(0, UNITS) if way == "f" else slice(UNITS, 2 * UNITS)
+    heads = np.stack([p["attend"][side], p["out"][side]])
 
-    States are kept unit-first, so each step works on contiguous lanes.
-    """
-    out = np.empty(len(start), np.float32)
-    dims = inputs.shape[1]
-    table = np.ascontiguousarray(inputs.T)
-    pad = len(inputs) - 1
+    def step(given, h):
+        """The next states from the words' share ``given`` of the gates and the states h."""
+        own = inner @ h
+        gates = given[:2 * UNITS] + own[:2 * UNITS]
+        gates /= 1 + np.abs(gates)
+        gates *= 0.5
+        gates += 0.5
+        new = gates[UNITS:]
+        new *= own[2 * UNITS:]
+        new += given[2 * UNITS:]
+        new /= 1 + np.abs(new)
+        own = h - new
+        own *= gates[:UNITS]
+        own += new
+        return own
+
+    return step, heads
+
+
+def _pooled(both: np.ndarray, bias: float) -> np.ndarray:
+    """Logits from attention and output terms (steps, 2, windows)."""
+    e = np.exp(both[:, 0] - both[:, 0].max(axis=0))
+    return (e * both[:, 1]).sum(axis=0) / e.sum(axis=0) + bias
+
+
+def window_logits(p: dict, inputs: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Logits of any windows over word inputs whose last row is padding."""
+    out = np.empty(len(start), p["out"].dtype)
+    table, pad = np.ascontiguousarray(inputs.T), len(inputs) - 1
     steps = int(length.max(initial=0))
     for lo in range(0, len(start), LANES):
         s, n = start[lo:lo + LANES], length[lo:lo + LANES]
-        full = bool((n == steps).all())
-        states = np.empty((steps, 2 * UNITS, len(s)), np.float32)
-        both = np.empty((dims + UNITS, len(s)), np.float32)
+        both = np.zeros((steps, 2, len(s)), p["out"].dtype)
         for way in "fb":
-            side = slice(0, UNITS) if way == "f" else slice(UNITS, 2 * UNITS)
-            gated = np.ascontiguousarray(np.vstack(
-                [p[f"x{way}"][:, :2 * UNITS], p[f"h{way}"][:, :2 * UNITS]]).T)
-            new_x = np.ascontiguousarray(p[f"x{way}"][:, 2 * UNITS:].T)
-            new_h = np.ascontiguousarray(p[f"h{way}"][:, 2 * UNITS:].T)
-            shift = p[f"c{way}"][:, None]
-            h = both[dims:]
-            h[:] = 0
+            step, heads = _step(p, way)
+            h = np.zeros((UNITS, len(s)), p["out"].dtype)
             for t in range(steps) if way == "f" else range(steps - 1, -1, -1):
-                on = None if full else t < n
-                np.take(table, s + t if full else np.where(on, s + t, pad), axis=1,
-                        out=both[:dims], mode="clip")
-                gates = _gate(gated @ both + shift[:2 * UNITS])
-                new = _squash(new_x @ both[:dims] + shift[2 * UNITS:]
-                              + gates[UNITS:] * (new_h @ h))
-                new += gates[:UNITS] * (h - new)
-                h[:] = new if full else np.where(on, new, h)
-                states[t, side] = h
-        e = np.einsum("k,tkb->tb", p["attend"], states)
-        if not full:
-            e[np.arange(steps)[:, None] >= n] = -1e9
-        e = np.exp(e - e.max(axis=0))
-        value = np.einsum("k,tkb->tb", p["out"], states)
-        out[lo:lo + LANES] = (e * value).sum(axis=0) / e.sum(axis=0) + p["bias"][0]
+                on = t < n
+                x = table[:, np.where(on, s + t, pad)]
+                h = np.where(on, step(p[f"x{way}"].T @ x + p[f"c{way}"][:, None], h), h)
+                both[t] += heads @ h
+        both[:, 0][np.arange(steps)[:, None] >= n] = -1e9
+        out[lo:lo + LANES] = _pooled(both, p["bias"][0])
+    return out
+
+
+def position_logits(p: dict, inputs: np.ndarray) -> np.ndarray:
+    """Logits of the windows of WINDOW words that begin at each word of ``inputs``, texts aside.
+
+    A word's input products are taken once for all windows that hold it."""
+    count = len(inputs) - WINDOW + 1
+    if count <= 0:
+        return np.zeros(0, np.float32)
+    out = np.empty(count, np.float32)
+    table = np.ascontiguousarray(inputs.T)
+    for lo in range(0, count, LANES):
+        m = min(LANES, count - lo)
+        x = table[:, lo:lo + m + WINDOW - 1]
+        both = np.zeros((WINDOW, 2, m), np.float32)
+        for way in "fb":
+            step, heads = _step(p, way)
+            given = np.ascontiguousarray(p[f"x{way}"].T) @ x + p[f"c{way}"][:, None]
+            h = np.zeros((UNITS, m), np.float32)
+            for t in range(WINDOW) if way == "f" else range(WINDOW - 1, -1, -1):
+                h = step(given[:, t:t + m], h)
+                both[t] += heads @ h
+        out[lo:lo + m] = _pooled(both, p["bias"][0])
+    return out
+
+
+def all_logits(p: dict, inputs: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Logits of the windows of ``window_starts``: the whole ones by position, the short ones alone."""
+    out = np.empty(len(start), np.float32)
+    whole = length == WINDOW
+    out[whole] = position_logits(p, inputs[:-1])[start[whole]]
+    short = np.flatnonzero(~whole)
+    out[short] = window_logits(p, inputs, start[short], length[short])
     return out
 
 
@@ -295,26 +355,22 @@ def train(texts: list[str | None], labels: list[int], rounds: int = 4, steps: in
     words[:, 0] = by_word.odds()
     model = Model(words, [np.append(g.odds(), np.float32(-1e9)) for g in by_gram],
                   start_params(rng))
-    # The words of all sampled texts fit in memory, so inputs are built once.
+    # The words of all sampled texts fit in memory, so inputs are built once a round.
     rows = np.empty(total, np.int32)
-    x = np.zeros((total + 1, WORD_DIMS + len(GRAMS)), np.float32)
     starts, lengths, owners, base = [], [], [], 0
     for c in chunks(texts, TRAIN_BYTES):
         s, n, t = window_starts(c.first)
-        stop = base + len(c.start)
-        rows[base:stop] = word_rows(c)
-        x[base:stop] = features(model, c)[:-1]
+        rows[base:base + len(c.start)] = word_rows(c)
         starts.append(s + base), lengths.append(n), owners.append(t + c.row)
-        base = stop
+        base += len(c.start)
     start, length, owner = map(np.concatenate, (starts, lengths, owners))
-    strong = x[:, 0] + x[:, WORD_DIMS:].max(axis=1)
     adam, slow = _Adam(0.01), 0.02
     for turn in range(rounds):
+        x, grams = _inputs(model, texts, total)
         if turn == 0:
-            span = start[:, None] + np.minimum(np.arange(WINDOW), length[:, None] - 1)
-            rank = strong[span].max(axis=1)
+            rank = _strongest(x[:, 0] + x[:, WORD_DIMS:].max(axis=1), start, length)
         else:
-            rank = window_logits(model.params, x, start, length)
+            rank = all_logits(model.params, x, start, length)
         order = np.lexsort((-rank, owner))
         first = np.r_[True, owner[order][1:] != owner[order][:-1]]
         nth = np.arange(len(order)) - np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))
@@ -328,14 +384,44 @@ def train(texts: list[str | None], labels: list[int], rounds: int = 4, steps: in
                 on = at < len(x) - 1
                 grads, to_x = _gradients(model.params, x[at], on, label[owner[w]])
                 adam.move(model.params, grads)
-                hit, back = np.unique(rows[at[on]], return_inverse=True)
-                change = np.zeros((len(hit), WORD_DIMS), np.float32)
-                np.add.at(change, back, to_x[on][:, :WORD_DIMS])
-                model.words[hit] -= slow * np.clip(change * BATCH, -1, 1)
-        x[:-1, :WORD_DIMS] = model.words[rows]
+                for table, row, part in [
+                        (model.words, rows, slice(0, WORD_DIMS)),
+                        *((g, best, slice(WORD_DIMS + k, WORD_DIMS + k + 1))
+                          for k, (g, best) in enumerate(zip(model.grams, grams, strict=True)))]:
+                    hit, back = np.unique(row[at[on]], return_inverse=True)
+                    change = np.zeros((len(hit), part.stop - part.start), np.float32)
+                    np.add.at(change, back, to_x[on][:, part])
+                    change = slow * np.clip(change * BATCH, -1, 1)
+                    if table.ndim == 1:  # n-grams; the last row means none and stays
+                        table[hit] -= np.where(hit < GRAM_ROWS, change[:, 0], 0)
+                    else:
+                        table[hit] -= change
     return model
 
 
+def _inputs(model: Model, texts: pa.Array, total: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Inputs of all words of the texts, and the n-grams they come from."""
+    x = np.zeros((total + 1, WORD_DIMS + len(GRAMS)), np.float32)
+    grams, base = [np.empty(total, np.int32) for _ in GRAMS], 0
+    for c in chunks(texts, TRAIN_BYTES):
+        stop = base + len(c.start)
+        x[base:stop] = features(model, c)[:-1]
+        if stop > base:
+            for own, best in zip(grams, best_grams(model, c), strict=True):
+                own[base:stop] = best
+        base = stop
+    return x, grams
+
+
+def _strongest(value: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The largest word value of each window; the last value is padding."""
+    out = np.full(len(start), -np.inf, np.float32)
+    for t in range(WINDOW):
+        on = t < length
+        out[on] = np.maximum(out[on], value[start[on] + t])
+    return out
+
+
 def scores(model: Model | None, texts: pa.Array) -> np.ndarray:
     """The largest window probability of each text (no words: 0)."""
     out = np.zeros(len(texts))
@@ -344,15 +430,17 @@ def scores(model: Model | None, texts: pa.Array) -> np.ndarray:
     for c in chunks(texts):
         start, length, text = window_starts(c.first)
         if len(start):
-            logit = window_logits(model.params, features(model, c), start, length)
-            np.maximum.at(out, c.row + text, _sigmoid(logit.astype(np.float64)))
+            logit = all_logits(model.params, features(model, c), start, length)
+            begin = np.flatnonzero(np.r_[True, text[1:] != text[:-1]])
+            best = np.maximum.reduceat(logit, begin).astype(np.float64)
+            out[c.row + text[begin]] = _sigmoid(best)
     return out
 
 
 # ---- on Spark
 
 def is_held_out(id_col: str):
-    return F.crc32(F.col(id_col).cast("string")) % 3 == 1
+    return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 3 == 1, F.lit(False))
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE,

@@ -66,6 +66,68 @@ def test_network_learns_stems_and_scores_every_window():
     assert odd[:3].tolist() == [0, 0, 0] and 0 <= odd[3] <= 1
 
 
+def plain_score(model, text):
+    """The score by a loop over every window, direction, step and unit."""
+    chunk = next(iter(toxicity.chunks(pa.array([text]))), None)
+    if chunk is None or not len(chunk.start):
+        return 0.0
+    x, p, units = toxicity.features(model, chunk)[:-1].astype(float), model.params, toxicity.UNITS
+    soft = lambda v: v / (1 + abs(v))
+    best = -math.inf
+    for begin in range(max(1, len(x) - toxicity.WINDOW + 1)):
+        window = x[begin:begin + toxicity.WINDOW]
+        states = np.zeros((len(window), 2 * units))
+        for way, order in (("f", range(len(window))), ("b", reversed(range(len(window))))):
+            h = [0.0] * units
+            for t in order:
+                given = [sum(window[t][d] * float(p[f"x{way}"][d][k]) for d in range(x.shape[1]))
+                         + float(p[f"c{way}"][k]) for k in range(3 * units)]
+                own = [sum(h[j] * float(p[f"h{way}"][j][k]) for j in range(units))
+                       for k in range(3 * units)]
+                gate = [0.5 + 0.5 * soft(given[k] + own[k]) for k in range(2 * units)]
+                new = [soft(given[2 * units + k] + gate[units + k] * own[2 * units + k])
+                       for k in range(units)]
+                h = [new[k] + gate[k] * (h[k] - new[k]) for k in range(units)]
+                states[t, 0 if way == "f" else units:][:units] = h
+        weight = [math.exp(float(np.dot(states[t], p["attend"]))) for t in range(len(window))]
+        pooled = sum(w * states[t] for t, w in enumerate(weight)) / sum(weight)
+        best = max(best, float(np.dot(pooled, p["out"]) + p["bias"][0]))
+    return 1 / (1 + math.exp(-best))
+
+
+def test_scores_against_a_plain_loop(monkeypatch):
+    """All windows of texts of any length, also with blocks smaller than a text."""
+    rng = random.Random(8)
+    model = toxicity.train(*zip(*insults(rng, 120), strict=True), rounds=2, steps=20)
+    texts = [None, "", " ", "one", "a zgrakto b", *(t for t, _ in insults(rng, 9))]
+    texts += [" ".join(["ba"] * n) for n in (toxicity.WINDOW - 1, toxicity.WINDOW, toxicity.WINDOW + 1)]
+    want = [plain_score(model, t or "") for t in texts]
+    for lanes in (2048, 3):
+        monkeypatch.setattr(toxicity, "LANES", lanes)
+        assert toxicity.scores(model, pa.array(texts)) == pytest.approx(want, abs=1e-4)
+
+
+def test_a_passage_scores_alike_at_every_offset():
+    """Wherever it stands, a passage lies whole in the same windows."""
+    rng = random.Random(9)
+    model = toxicity.train(*zip(*insults(rng, 300), strict=True), rounds=2, steps=40)
+    filler, passage = ["ba"] * 60, ["ri", "zgrakba", "lu", "toso", "zgrakri"]
+    texts = [" ".join(filler[:k] + passage + filler[k:]) for k in range(61)]
+    found = toxicity.scores(model, pa.array(texts))
+    inner = found[toxicity.WINDOW:-toxicity.WINDOW]
+    assert inner.max() - inner.min() < 1e-5
+    assert len({s >= toxicity.THRESHOLD for s in found}) == 1
+
+
+def test_character_tables_are_trained():
+    rng = random.Random(10)
+    texts, labels = zip(*insults(rng, 200), strict=True)
+    before = toxicity.train(texts, labels, rounds=1, steps=0)
+    after = toxicity.train(texts, labels, rounds=2, steps=30)
+    for a, b in zip(before.grams, after.grams, strict=True):
+        assert (a != b).any() and a[-1] == b[-1] == np.float32(-1e9)
+
+
 def test_gradients_by_differences():
     rng = np.random.default_rng(2)
     p = {k: v.astype(np.float64) for k, v in toxicity.start_params(rng).items()}
@@ -114,6 +176,10 @@ def test_toxicity_without_a_class(docs_of, llm):
     assert model is None
     assert toxicity.clean_documents(docs, model).collect() == docs.collect()
     assert toxicity.scored(docs_of([]), model).count() == 0
+    none = llm.createDataFrame([(None, "x"), (None, "x")], "doc_id long, text string")
+    held = none.select(toxicity.is_held_out("doc_id").alias("h")).collect()
+    assert [r.h for r in held] == [False, False]
+    assert toxicity.scored(none, model).count() == 2
 
 
 # ---- pieces
@@ -253,6 +319,39 @@ def test_packed_rows_hold_every_token(docs_of):
     assert packing.packed_rows(docs_of([])).count() == 0
 
 
+def test_slices_give_the_ids_of_the_whole(docs_of):
+    """Cuts never change ids; a long run of white space goes the other way."""
+    import tiktoken
+
+    with open(packing.RANKS, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    model = tiktoken.Encoding("t", pat_str=packing.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    rng = random.Random(1)
+    some = ["a", "b c", "é", "1 ", "  ", " ", "\n", "\xa0", "!", "'s", "don't ", "日本 ", "_x", "\x85",
+            "x_ y", " 's", "² 3", "a ́b", "<|endoftext|>"]
+    for _ in range(200):
+        text = "".join(rng.choice(some) for _ in range(rng.randrange(0, 300)))
+        whole = model.encode(text, disallowed_special=())
+        for size in (1, 5, 50):
+            parts = list(packing.cut(text, size))
+            assert "".join(parts) == text
+            assert [x for s in parts for x in model.encode(s, disallowed_special=())] == whole
+    with open(packing.EXACT, encoding="utf-8") as f:
+        content = f.read()
+    blank = "x <|endoftext|>" + " " * 1_000_000 + "z"
+    found = packing._ids(model, blank, content).tolist()
+    assert model.decode(found) == blank and found[-1] == model.encode_single_token(b" z")
+    # repeated rows, a null identifier, a text over a slice without a place to cut
+    texts = [(1, "a b"), (1, "a b"), (None, "c d"), (2, "x" * 300_000)]
+    rows = packing.packed_rows(docs_of([(i, t, "s") for i, t in texts]), row=64).collect()
+    held = defaultdict(int)
+    for r in rows:
+        for s in r.segments:
+            held[s.id, s.piece] += s.size
+    assert held[1, 0] == 6 and held[None, 0] == 3
+    assert sum(n for (i, _), n in held.items() if i == 2) == len(model.encode("x" * 300_000)) + 1
+
+
 # ---- archives
 
 def test_archive_frames_are_independent():
