@@ -12,8 +12,9 @@ least that many of its inverted lists must hold the partner (T-occurrence).
    partner in one of the rest. Those postings are dealt by shingle. Lists
    without the mark give pairs with their number of common short lists, and a
    pair stays if that number plus the lists put aside can reach the overlap.
-   Marked lists (they count only for sets that are nearly all shared text)
-   are not expanded to pairs: neighbours by set size are chained.
+   Marked lists (they count only for sets that are nearly all shared text) and
+   any other list of more than ``LONG_LIST`` sets are not expanded to pairs:
+   neighbours by set size are chained, which joins at least the same sets.
 3. The pairs and chains join sets into blocks (``components``), which are cut
    into shards of bounded shingle volume. Each pair of shards of a block is one
    task's T-occurrence search: short lists are merged (by a heap, or by a
@@ -243,7 +244,8 @@ def _pairs_of_bucket(bucket: int, blobs, marks: np.ndarray, bits: int, percent:
     held = np.diff(np.r_[at, len(p["low"])])
     at, held = at[held > 1], held[held > 1]
     whole = (np.uint64(bucket) << np.uint64(32)) | p["low"][at].astype(np.uint64)
-    long = marks[mark_of(whole << np.uint64(32 - bits), bits)]
+    # Lists too long to expand are chained, whether or not there was a mark left for them.
+    long = marks[mark_of(whole << np.uint64(32 - bits), bits)] | (held > LONG_LIST)
     n = p["n"].astype(np.int64)
     aside = np.where(p["aside"] == 65535, 1 << 40, p["aside"].astype(np.int64))
     left, right, shared = [], [], []
@@ -493,10 +495,11 @@ def linked(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size:
     smallest = named.groupBy("component").agg(F.min("rep").alias("smallest"))
     named = named.join(smallest, "component").select("k1", "k2", "n", "smallest", "links",
                                                     "component")
-    label = classes.join(named, ["k1", "k2", "n"], "left").select(
+    # Written, so that the last join can split a class that holds very many rows.
+    label = staged(classes.join(named, ["k1", "k2", "n"], "left").select(
         "k1", "k2", "n", F.coalesce("smallest", "rep").alias("label"),
         (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("links"),
-        F.coalesce("component", "k1").alias("joined"))
+        F.coalesce("component", "k1").alias("joined")), "labels")
     source = found if not carry else set_classes(rows, size)
     return source.join(label, ["k1", "k2", "n"], "left").select(
         "id", F.col("n").cast("long").alias("n_shingles"),
