@@ -26,7 +26,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from accounthealth.llm.frames import packed, quoted, word_count
+from accounthealth.llm.frames import packed, quoted, staged, word_count
 
 WEIGHTS = (5, 2, 1)
 SHARE = (3, 2)  # 150 % of all words
@@ -98,6 +98,8 @@ def mix(df: DataFrame, id_col: str = "doc_id", source_col: str = "source",
         *([packed(df).alias("row")] if carry else []),
     ).withColumn("slot", F.shiftright("key", KEY_BITS - RANGE_BITS).cast("int"))
 
+    if not carry:  # a few numbers a document: the texts are counted once
+        docs = staged(docs, "mix-sizes")
     narrow = docs.select("src", "slot", "size")
     slots = narrow.groupBy("src", "slot").agg(F.sum("size").alias("slot_size"))
     ahead = Window.partitionBy("src").orderBy("slot").rowsBetween(

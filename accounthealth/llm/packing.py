@@ -12,13 +12,18 @@ A row of the result holds ``ids`` (little-endian unsigned 16-bit, padded with
 0), ``positions`` (16-bit, from 0 again at each segment; 0 in the padding),
 ``n_tokens`` and ``segments`` (identifier, row id, piece, offset and length).
 
-Defined results: null and empty texts are one segment of ``END`` alone. Pieces
-of equal length go by their row id and piece number. An empty table has no rows.
+Defined results: null and empty texts are one segment of ``END`` alone. A very
+long text is tokenised in slices that give the ids of the whole. Pieces of equal
+length go by their row id and piece number; rows that repeat an identifier and a
+text share a row id, and each has all its segments. Null identifiers stay null.
+An empty table has no rows.
 """
 
 from __future__ import annotations
 
 import base64
+import re
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -29,12 +34,14 @@ from pyspark.sql import functions as F
 from accounthealth.llm.frames import quoted, staged
 
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+EXACT = "/opt/tokenizers/byte_bpe_50k.json"  # the same vocabulary for another library
 # Fixed by the vocabulary: how it splits text into words, and its free id.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 END = 50256
 ROW = 2048
 GROUP_TOKENS = 2_000_000
-SLICE = 200_000  # characters tokenised at once
+SLICE = 200_000  # characters tokenised at once, or up to the next place to cut
+_BORDER = re.compile(r"[^\W_] (?=[^\W_])")
 
 
 class CapacityTree:
@@ -86,33 +93,54 @@ def best_fit(lengths: list[int], row: int) -> list[list[int]]:
     return rows
 
 
-def _slices(text: str):
-    """Cuts before a space, so that no word is split where one can be kept whole."""
-    while len(text) > SLICE:
-        at = text.rfind(" ", 1, SLICE)
-        at = at if at > 0 else SLICE
-        yield text[:at]
-        text = text[at:]
-    yield text
+def cut(text: str, size: int = SLICE) -> Iterator[str]:
+    """Slices whose ids, one after the other, are those of the whole text.
 
+    A cut lies before a space that stands alone between a letter, digit or sign and another
+    such character: there every match of the vocabulary's pattern ends, whatever surrounds
+    it. A text without such a place stays whole from there on."""
+    begin = 0
+    while len(text) - begin > size:
+        found = _BORDER.search(text, begin + size)
+        if found is None:
+            break
+        at = found.start() + 1
+        yield text[begin:at]
+        begin = at
+    yield text[begin:]
 
-def token_pieces(df: DataFrame, id_col: str, text_col: str, ranks_file: str, row: int) -> DataFrame:
+
+def _ids(model, text: str, content: str) -> np.ndarray:
+    """Ids of a slice. The model's regular expressions refuse a very long run of white space;
+    the other library reads the same vocabulary and does not."""
+    try:
+        return model.encode_to_numpy(text, disallowed_special=())
+    except ValueError:
+        from tokenizers import Tokenizer
+
+        exact = Tokenizer.from_str(content)
+        exact.encode_special_tokens = True  # their strings are ordinary text
+        return np.array(exact.encode(text, add_special_tokens=False).ids, np.uint32)
+
+
+def token_pieces(df: DataFrame, id_col: str, text_col: str, ranks_file: str, row: int,
+                 exact_file: str = EXACT) -> DataFrame:
     """``id, rid, piece, size, ids`` of every text, cut to rows."""
-    with open(ranks_file, "rb") as source:
-        ranks = source.read()
-    shared = df.sparkSession.sparkContext.broadcast(ranks)  # a vocabulary
+    with open(ranks_file, "rb") as source, open(exact_file, encoding="utf-8") as other:
+        ranks, content = source.read(), other.read()
+    shared = df.sparkSession.sparkContext.broadcast((ranks, content))  # a vocabulary
 
     def run(batches):
         import tiktoken
 
-        known = {base64.b64decode(a): int(b) for a, b in map(bytes.split, shared.value.splitlines())}
+        ranks, content = shared.value
+        known = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines())}
         model = tiktoken.Encoding("bytes", pat_str=PATTERN, mergeable_ranks=known,
                                   special_tokens={})
         for batch in batches:
             at, piece, size, ids = [], [], [], []
             for k, text in enumerate(batch.column("text")):
-                parts = [model.encode_to_numpy(s, disallowed_special=())
-                         for s in _slices(text.as_py() or "")]
+                parts = [_ids(model, s, content) for s in cut(text.as_py() or "")]
                 tokens = np.concatenate([*parts, [END]]).astype("<u2")
                 for n, lo in enumerate(range(0, len(tokens), row)):
                     at.append(k)
