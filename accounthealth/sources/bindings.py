@@ -170,20 +170,21 @@ def billing_invoices(t: DriverTables) -> DataFrame:
 
 
 def product_events(t: DriverTables) -> DataFrame:
+    """Every event at its own time. Some events of small accounts have no name, so that the
+    segments' feature variety differs."""
     ev = t.table("events").select("event_id", "ts", "user_id", "event_type")
     eid, uid = F.col("event_id"), F.col("user_id")
     account = F.when(eid % 10 < 6, (uid - uid % 10) * 10).otherwise(uid * 10 + eid % 7)
+    seg_hash = (account * 7919) % 97
+    unnamed = ((eid % 500 == 9) | ((seg_hash < 41) & (eid % 3 == 1))
+               | ((seg_hash >= 41) & (seg_hash < 78) & (eid % 5 == 2)))
     return ev.select(
         eid.cast("bigint").alias("event_id"),
         account.cast("bigint").alias("account_id"),
-        F.when(eid % 500 == 9, F.lit(None).cast("string"))
+        F.when(unnamed, F.lit(None).cast("string"))
         .otherwise(_map(F.col("event_type"), EVENT_NAMES_BY_TYPE, OTHER_EVENT_NAME))
         .alias("event_name"),
-        # Events reach the source in batches, monthly for startups and half-monthly for
-        # others: a day holds several names, and segments differ in their variety.
-        F.when((F.dayofmonth("ts") > 15) & ((account * 7919) % 97 >= 41), F.expr(
-            "cast(date_trunc('month', ts) + interval 15 days as timestamp_ntz)"))
-        .otherwise(F.expr("cast(date_trunc('month', ts) as timestamp_ntz)")).alias("event_at"),
+        F.col("ts").alias("event_at"),
         _pick(eid % 3, USER_ROLES).alias("user_role"),
     )
 

@@ -70,7 +70,7 @@ def test_audit_on_bindings_sf001(wh_mid):
     assert observed["missing_company_size"] == 90
     assert observed["negative_invoice_amount"] == 58
     assert observed["subscription_end_before_start"] == 2
-    assert observed["null_product_event_names"] == 20
+    assert observed["null_product_event_names"] == 2115
     assert observed["accepted_lifecycle_values"] == 0
     assert observed["mart_customer_health_rows"] == 1500
     assert [r["position"] for r in quality.audit(wh_mid).orderBy("position").collect()] == \
