@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from accounthealth.functions.cache import per_context
+from accounthealth.functions.position import with_position
 from accounthealth.functions.text import DOT, js_currency, js_number, risk_label, title_case
 from accounthealth.operators import workspace as ws
 from accounthealth.plans.warehouse import Warehouse
@@ -84,15 +85,17 @@ def viewer_queue(wh: Warehouse) -> DataFrame:
     return joined.withColumn("next_action", action)
 
 
+def searchable_text() -> Column:
+    """What a search looks at: name, id, industry and region, lower-cased."""
+    return F.lower(F.concat_ws(" ", *[F.coalesce(F.col(c).cast("string"), F.lit(""))
+                                      for c in ("account_name", "account_id", "industry",
+                                                "region")]))
+
+
 def search(df: DataFrame, query: str) -> DataFrame:
     """A1: trimmed, lower-cased substring of name, id, industry, region."""
     q = (query or "").strip().lower()
-    if not q:
-        return df
-    searchable = F.lower(F.concat_ws(" ", *[F.coalesce(F.col(c).cast("string"), F.lit(""))
-                                           for c in ("account_name", "account_id", "industry",
-                                                     "region")]))
-    return df.filter(searchable.contains(F.lit(q)))
+    return df.filter(searchable_text().contains(F.lit(q))) if q else df
 
 
 def filter_queue(df: DataFrame, risk: str = ALL, segment: str = ALL,
@@ -112,6 +115,12 @@ def explore(wh: Warehouse, query: str = "", risk: str = ALL, segment: str = ALL,
     return rows.orderBy(*sort_order(sort))
 
 
+def ranked_queue(wh: Warehouse, sort: str = "risk", **filters) -> DataFrame:
+    """A3: every row of the (filtered) queue with its rank in the mode's order."""
+    rows = filter_queue(search(viewer_queue(wh), filters.pop("query", "")), **filters)
+    return with_position(rows, sort_order(sort))
+
+
 def page(wh: Warehouse, pages: int = 1, sort: str = "risk", **filters) -> DataFrame:
     """A4: the first ``pages`` x 30 rows, ranked. The limit plans as a
     per-task top-k; the rank window only sees the kept rows."""

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from accounthealth.operators import explorer as ex
+from accounthealth.operators import search_index
+from accounthealth.operators.workspace import queue_base
 from accounthealth.plans.catalog_workspace import REASONS_SQL
 from accounthealth.plans.oracle import (sql_js_currency, sql_js_number, sql_risk_label,
                                         sql_title_case)
 from accounthealth.plans.registry import register
+from accounthealth.session import scratch_folder
 
 # Parameters of the registered runs (the viewer's controls).
 SEARCH_QUERY = "  Building "
@@ -48,17 +51,29 @@ def _viewer(body: str) -> str:
     return _VIEWER_SQL + body
 
 
-@register("app_queue_search", _viewer(f"""
+_SEARCH_SQL = _viewer(f"""
 SELECT {', '.join(_LIST_COLUMNS)} FROM viewer
 WHERE contains(lower(coalesce(account_name, '') || ' ' || coalesce(CAST(account_id AS VARCHAR), '')
                      || ' ' || coalesce(industry, '') || ' ' || coalesce(region, '')),
                '{SEARCH_QUERY.strip().lower()}')
-"""))
+""")
+
+
+@register("app_queue_search", _SEARCH_SQL)
 def app_queue_search(wh):
     """A1 (query ``SEARCH_QUERY``)."""
     return ex.explore(wh, query=SEARCH_QUERY).select(*_LIST_COLUMNS)
 
 
+@register("app_queue_search_indexed", _SEARCH_SQL)
+def app_queue_search_indexed(wh):
+    """A1 over a stored index of the queue's searchable text."""
+    path = scratch_folder(wh.spark)
+    search_index.write_index(queue_base(wh), path)
+    return search_index.indexed_search(ex.viewer_queue(wh), path, SEARCH_QUERY).select(
+        *_LIST_COLUMNS)
+
+
 @register("app_queue_filter", _viewer(f"""
 SELECT {', '.join(_LIST_COLUMNS)} FROM viewer
 WHERE churn_risk_band = '{FILTER['risk']}' AND segment = '{FILTER['segment']}'
@@ -73,15 +88,12 @@ _SORT_COLUMNS = ["account_id", "churn_risk_score", "recognized_revenue", "health
 
 
 def _sort_query(mode: str):
-    """A3: the first pages in the mode's order, each row with its position."""
+    """A3: the whole queue, each row with its position in the mode's order."""
     register(f"app_sort_{mode}", _viewer(f"""
 SELECT {', '.join(_SORT_COLUMNS)},
-       CAST(row_number() OVER (ORDER BY {_SORT_SQL[mode]}, {_QUEUE_ORDER_SQL}) AS INTEGER)
-           AS rank
+       row_number() OVER (ORDER BY {_SORT_SQL[mode]}, {_QUEUE_ORDER_SQL}) AS rank
 FROM viewer
-ORDER BY rank
-LIMIT {ex.PAGE_SIZE * PAGES}
-"""))(lambda wh: ex.page(wh, pages=PAGES, sort=mode).select(*_SORT_COLUMNS, "rank"))
+"""))(lambda wh: ex.ranked_queue(wh, sort=mode).select(*_SORT_COLUMNS, "rank"))
 
 
 for _mode in ex.SORT_MODES:

@@ -106,7 +106,7 @@ def test_medians_read_the_same_values_as_the_queue(wh_small):
     assert own.exceptAll(base).count() == base.exceptAll(own).count() == 0
 
 
-@pytest.mark.parametrize("key", ["ws_queue", "app_next_action", "app_account_brief", "app_sort_risk"])
+@pytest.mark.parametrize("key", ["ws_queue", "app_next_action", "app_account_brief", "app_queue_page"])
 def test_queue_queries_build_without_jobs(spark, key):
     tracker = spark.sparkContext.statusTracker()
     spark.sparkContext.setJobGroup(f"build-{key}", key)
