@@ -25,12 +25,13 @@ def test_every_query_has_oracle():
     assert len(qs) >= 80
 
 
-@pytest.fixture(scope="module")
+@pytest.fixture
 def duck():
-    con = duckdb.connect()
-    for t in TABLES:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
-    return con
+    """A connection of its own for each test: a fault cannot reach the next one."""
+    with duckdb.connect(config={"threads": 4, "memory_limit": "2GB"}) as con:
+        for t in TABLES:
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+        yield con
 
 
 def _canon(rows, cols):
