@@ -6,7 +6,8 @@
 
 Outputs under ``--out`` (every one a distributed write):
 
-    warehouse/<model>/           the 21 models (parquet), built in order
+    warehouse/builds/<build>/    the 21 models (parquet), built in order
+    warehouse/published/         the published builds; readers take the latest
     quality_audit/               audit document (JSON)
     readout/<name>/              KPIs, top risk, retention listing (JSON lines)
     workspace/summary/           one document: kpis, segments, lifecycle, adoption,
@@ -26,7 +27,8 @@ from accounthealth.operators import explorer, quality, reports
 from accounthealth.operators import workspace as ws
 from accounthealth.plans.warehouse import Warehouse
 from accounthealth.session import configure
-from accounthealth.sources import sinks
+from accounthealth.sources import column_types, sinks
+from accounthealth.sources.schemas import SOURCE_NAMES
 
 
 def _json(df: DataFrame, path: str) -> None:
@@ -38,7 +40,7 @@ def publish(wh: Warehouse, out: str, buckets: int | None = None,
     """Build every model as a table, then write all outputs from the built
     tables (bucketed on ``account_id`` when ``buckets`` is set). With
     ``build=False`` the warehouse is already bound to a previous build
-    (``Warehouse.from_built``) and only the outputs are written. Returns the
+    (``sinks.read_built``) and only the outputs are written. Returns the
     build manifest when it builds."""
     out = out.rstrip("/")
     manifest = sinks.write_tables(wh, f"{out}/warehouse", buckets=buckets) if build else None
@@ -70,6 +72,8 @@ def main(argv: list[str] | None = None) -> None:
                     help="warehouse folder of a previous build: publish from it, no rebuild")
     ap.add_argument("--buckets", type=int, default=None,
                     help="bucket the account-keyed models on account_id into this many buckets")
+    ap.add_argument("--check-types", action="store_true",
+                    help="report the column types first; stop if a value would fail the build")
     args = ap.parse_args(argv)
     builder = SparkSession.builder.appName("accounthealth")
     if not SparkConf().contains("spark.ui.enabled"):
@@ -77,7 +81,16 @@ def main(argv: list[str] | None = None) -> None:
     spark = configure(builder.getOrCreate())
     wh = (Warehouse.from_csv(spark, args.csv_dir) if args.csv_dir
           else Warehouse.from_testdata(spark, args.parquet_dir))
+    if args.check_types:
+        found = column_types.report({name: wh.raw(name) for name in SOURCE_NAMES}).collect()
+        for r in found:  # one row a column of the eight sources
+            print(f"{r.source}.{r['column']}: {r.found}, {r.missing} missing")
+        bad = [r for r in found if r.bad and (r.source, r["column"]) not in column_types.LENIENT]
+        if bad:
+            raise SystemExit("\n".join(
+                f"{r.source}.{r['column']}: {r.bad} values are no {r.expected}, as {r.example!r}"
+                for r in bad))
     if args.built:
-        publish(Warehouse.from_built(spark, args.built, wh.sources), args.out, build=False)
+        publish(sinks.read_built(spark, args.built, wh.sources), args.out, build=False)
         return
     publish(wh, args.out, args.buckets).orderBy("table").show(30, truncate=False)

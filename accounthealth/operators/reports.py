@@ -88,6 +88,36 @@ def churn_histogram(risk: DataFrame) -> DataFrame:
     )
 
 
+# Steps that automatic bins may have: 1, 2 and 5 times powers of ten.
+BIN_STEPS = [float(f"{m}e{e}") for e in range(-9, 16) for m in (1, 2, 5)]
+
+
+def automatic_histogram(rows: DataFrame, column: str, bins: int = HISTOGRAM_BINS) -> DataFrame:
+    """R5 with bins from the data's range: the smallest step of ``BIN_STEPS`` whose multiples
+    cut smallest to largest value into at most ``bins`` bins. Empty bins report zero; null,
+    NaN and infinite values are left out; no value, no bin."""
+    value = F.col(column).cast("double")
+    known = rows.select(value.alias("v")).filter(
+        F.col("v").isNotNull() & ~F.isnan("v") & (F.abs("v") < float("inf")))
+    # one row: the smallest and the largest value choose the step
+    ends = known.agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
+    fits = F.filter(F.array(*[F.lit(s) for s in BIN_STEPS]),
+                    lambda s: F.floor(F.col("hi") / s) - F.floor(F.col("lo") / s) < bins)
+    chosen = ends.select("lo", "hi", F.array_min(fits).alias("step")).select(
+        F.struct("step", F.floor(F.col("lo") / F.col("step")).alias("first"),
+                 F.floor(F.col("hi") / F.col("step")).alias("last")).alias("c"))
+    step = chosen.select("c.step").scalar()
+    counts = known.groupBy(F.floor(F.col("v") / step).alias("at")).agg(
+        F.count(F.lit(1)).alias("rows"))
+    spine = chosen.filter("c.step is not null").select(
+        "c.step", "c.first", F.explode(F.sequence("c.first", "c.last")).alias("at"))
+    return spine.join(counts, "at", "left").select(
+        (F.col("at") - F.col("first")).cast("int").alias("bin"),
+        (F.col("at") * F.col("step")).alias("bin_start"),
+        ((F.col("at") + 1) * F.col("step")).alias("bin_end"),
+        F.coalesce("rows", F.lit(0).cast("long")).alias("accounts"))
+
+
 def retention_series(retention: DataFrame) -> DataFrame:
     """GRR per non-null segment and plan (null plan shown as ``none``)."""
     return retention.filter(F.col("segment").isNotNull()).select(

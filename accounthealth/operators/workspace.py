@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from accounthealth.functions.cache import per_context
 from accounthealth.functions.median import grouped_median
 from accounthealth.functions.money import exact_avg, money_sum, score_avg
-from accounthealth.functions.topk import nest_records, ranked_records
+from accounthealth.functions.topk import nest_records, nested_lists, ranked_records
 from accounthealth.operators.marts import usage_by_account
 from accounthealth.plans.warehouse import Warehouse
 
@@ -371,15 +371,24 @@ def json_safe(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
+def account_lists(wh: Warehouse) -> list[DataFrame]:
+    """The ten lists of every account, nested in one grouping: one exchange of the cut records.
+
+    Models bucketed on the account need none: there every list is a frame of its own, nested
+    where its rows are, and the lists join bucket by bucket."""
+    if wh.buckets:
+        return [nest_records(record_list(wh, name), "account_id", name) for name in RECORD_LISTS]
+    return [nested_lists({name: (source(wh), date_column, limit)
+                          for name, (source, date_column, limit) in RECORD_LISTS.items()})]
+
+
 def account_detail(wh: Warehouse) -> DataFrame:
     """One row per queue account with its record lists, trends and
     adoption (missing lists are empty arrays)."""
     queue = attention_queue(wh).drop(*MEDIAN_COLUMNS)
     detail = queue.select("account_id", F.struct(*queue.columns).alias("account"))
-    nested = {}
-    for name in RECORD_LISTS:
-        nested[name] = nest_records(record_list(wh, name), "account_id", name)
-        detail = detail.join(nested[name], "account_id", "left")
+    for lists in account_lists(wh):
+        detail = detail.join(lists, "account_id", "left")
 
     def lst(name: str) -> Column:
         return F.coalesce(F.col(name), F.array())

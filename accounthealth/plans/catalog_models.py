@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from accounthealth.plans.registry import register
-from accounthealth.plans.warehouse import MODEL_NAMES
+from accounthealth.plans.warehouse import MODEL_NAMES, Warehouse
 from accounthealth.session import scratch_folder
-from accounthealth.sources.schemas import SOURCE_NAMES
-from accounthealth.sources.sinks import write_tables
+from accounthealth.sources import column_types
+from accounthealth.sources.schemas import SOURCE_NAMES, STAGED
+from accounthealth.sources.sinks import remove_folder, write_tables
 
 # Raw sources (S1) and every staging/dimension/fact/mart model, one key each.
 # dim_plans and dim_date are literal tables: they are covered by
@@ -42,6 +43,57 @@ def mart_segment_adoption(wh):
     return wh.table("mart_segment_adoption")
 
 
+def _types_sql() -> str:
+    """Each column's values tested one by one, as a long table of texts."""
+    parts = []
+    for source in SOURCE_NAMES:
+        for column, kind in STAGED[source].items():
+            parts.append(
+                f"SELECT '{source}' AS source, '{column}' AS \"column\", "
+                f"'{kind.simpleString()}' AS expected, trim(CAST({column} AS VARCHAR)) AS t, "
+                f"TRY_CAST(nullif(trim(CAST({column} AS VARCHAR)), '') AS "
+                f"{_DUCK_TYPES[kind.simpleString()]}) IS NULL AS fails FROM {source}")
+    texts = " UNION ALL ".join(parts)
+    return f"""
+, texts AS ({texts}),
+kinds AS (
+    SELECT source, "column", expected, t, fails,
+           CASE WHEN regexp_full_match(t, '(?i)true|false') THEN 'boolean'
+                WHEN TRY_CAST(t AS BIGINT) IS NOT NULL AND regexp_full_match(t, '[+-]?[0-9]+')
+                    THEN 'bigint'
+                WHEN TRY_CAST(t AS DOUBLE) IS NOT NULL AND regexp_matches(t, '^[+-.0-9]')
+                    THEN 'double'
+                WHEN length(t) = 10 AND TRY_CAST(t AS DATE) IS NOT NULL THEN 'date'
+                WHEN TRY_CAST(t AS TIMESTAMP) IS NOT NULL THEN 'timestamp'
+                ELSE 'text' END AS kind
+    FROM texts WHERE t <> ''
+),
+held AS (
+    SELECT source, "column", list_sort(list(DISTINCT kind)) AS kinds, count(*) AS n,
+           count(*) FILTER (fails) AS bad, min(t) FILTER (fails) AS example
+    FROM kinds GROUP BY ALL
+)
+SELECT a.source, a."column",
+       CASE WHEN h.n IS NULL THEN 'text' WHEN len(kinds) = 1 THEN kinds[1]
+            WHEN kinds = ['bigint', 'double'] THEN 'double'
+            WHEN kinds = ['date', 'timestamp'] THEN 'timestamp' ELSE 'text' END AS found,
+       a.expected, coalesce(h.n, 0) AS "values", a.n - coalesce(h.n, 0) AS missing,
+       coalesce(h.bad, 0) AS bad, h.example
+FROM (SELECT source, "column", expected, count(*) AS n FROM texts GROUP BY ALL) a
+LEFT JOIN held h ON a.source = h.source AND a."column" = h."column"
+"""
+
+
+_DUCK_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "date": "DATE",
+               "double": "DOUBLE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
+@register("src_column_types", _types_sql())
+def src_column_types(wh):
+    """The type of every source column, found from its text."""
+    return column_types.report({name: wh.raw(name) for name in SOURCE_NAMES})
+
+
 _MANIFEST_SQL = "\nUNION ALL\n".join(
     f"SELECT '{layer}' AS layer, '{name}' AS \"table\", count(*) AS rows FROM {name}"
     for layer, name in sorted(
@@ -57,7 +109,10 @@ _MANIFEST_SQL = "\nUNION ALL\n".join(
 def build_manifest(wh):
     """Every model built as a table in build order, then listed by name
     with the rows of the written table."""
-    return write_tables(wh, scratch_folder(wh.spark)).select("layer", "table", "rows")
+    folder = scratch_folder(wh.spark)
+    manifest = write_tables(Warehouse(wh.spark, wh.sources), folder).select("layer", "table", "rows")
+    remove_folder(wh.spark, folder)  # the manifest has been counted by the writes
+    return manifest
 
 
 @register("sink_tables", """
@@ -66,8 +121,11 @@ SELECT 'mart_churn_risk' AS "table", count(*) AS rows,
 """)
 def sink_tables(wh):
     """S3: a model written as a table and read back (rows and distinct keys)."""
-    write_tables(wh, scratch_folder(wh.spark), ["mart_churn_risk"])
-    risk = wh.table("mart_churn_risk")  # bound to the written table
-    return risk.agg(F.count(F.lit(1)).alias("rows"),
-                    F.count_distinct("account_id").alias("distinct_accounts")).select(
-        F.lit("mart_churn_risk").alias("table"), "rows", "distinct_accounts")
+    own, folder = Warehouse(wh.spark, wh.sources), scratch_folder(wh.spark)
+    write_tables(own, folder, ["mart_churn_risk"])
+    row = own.table("mart_churn_risk").agg(  # bound to the written table
+        F.count(F.lit(1)).alias("rows"),
+        F.count_distinct("account_id").alias("distinct_accounts")).first()
+    remove_folder(wh.spark, folder)
+    return wh.spark.createDataFrame([("mart_churn_risk", *row)],
+                                    "table string, rows long, distinct_accounts long")

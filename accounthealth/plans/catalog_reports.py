@@ -75,6 +75,37 @@ def rpt_churn_histogram(wh):
     return reports.churn_histogram(wh.table("mart_churn_risk"))
 
 
+def _automatic_bins_sql(column: str) -> str:
+    steps = ", ".join(repr(s) for s in reports.BIN_STEPS)
+    return f"""
+, known AS (SELECT CAST({column} AS DOUBLE) AS v FROM mart_customer_health
+            JOIN (SELECT account_id, churn_risk_score FROM mart_churn_risk) USING (account_id)
+            WHERE {column} IS NOT NULL),
+ends AS (SELECT min(v) AS lo, max(v) AS hi FROM known),
+chosen AS (
+    SELECT step, CAST(floor(lo / step) AS BIGINT) AS first, CAST(floor(hi / step) AS BIGINT) AS last
+    FROM ends, (SELECT unnest([{steps}]::DOUBLE[]) AS step)
+    WHERE floor(hi / step) - floor(lo / step) < 20
+    ORDER BY step LIMIT 1
+)
+SELECT CAST(b.k - first AS INTEGER) AS bin, b.k * step AS bin_start, (b.k + 1) * step AS bin_end,
+       (SELECT count(*) FROM known WHERE floor(v / step) = b.k) AS accounts
+FROM chosen, LATERAL (SELECT unnest(range(first, last + 1)) AS k) b
+"""
+
+
+@register("rpt_churn_histogram_auto", _automatic_bins_sql("churn_risk_score"))
+def rpt_churn_histogram_auto(wh):
+    """R5 with automatic bins over the risk score."""
+    return reports.automatic_histogram(wh.table("scored_accounts"), "churn_risk_score")
+
+
+@register("rpt_revenue_histogram_auto", _automatic_bins_sql("recognized_revenue"))
+def rpt_revenue_histogram_auto(wh):
+    """The same bins over a column whose range is not known beforehand."""
+    return reports.automatic_histogram(wh.table("scored_accounts"), "recognized_revenue")
+
+
 @register("rpt_retention_series", """
 SELECT segment, coalesce(plan, 'none') AS plan, gross_revenue_retention
 FROM mart_revenue_retention

@@ -5,15 +5,17 @@ import json
 
 from accounthealth import jobs
 from accounthealth.plans.warehouse import MODEL_NAMES, Warehouse
+from accounthealth.sources import sinks
 
 
 def test_publish_writes_all_outputs(spark, tmp_path):
     wh = Warehouse.from_testdata(spark, "/root/testdata/sf0.001")
     out = str(tmp_path / "run")
-    manifest = {r["table"]: r["rows"] for r in jobs.publish(wh, out).collect()}
+    made = jobs.publish(wh, out).collect()
+    manifest = {r["table"]: r["rows"] for r in made}
     assert set(manifest) == set(MODEL_NAMES) and manifest["mart_churn_risk"] == 150
-    for model in MODEL_NAMES:
-        assert glob.glob(f"{out}/warehouse/{model}/*.parquet"), model
+    for r in made:
+        assert r["path"].startswith(f"{out}/warehouse/") and glob.glob(f"{r['path']}/*.parquet")
     audit = json.loads(open(glob.glob(f"{out}/quality_audit/part-*.json")[0]).read())
     assert audit["summary"]["total_checks"] == 10
     kpis = [json.loads(x) for f in glob.glob(f"{out}/readout/kpis/part-*.json") for x in open(f)]
@@ -39,7 +41,7 @@ def test_publish_from_a_previous_build(spark, tmp_path):
     wh = Warehouse.from_testdata(spark, "/root/testdata/sf0.001")
     first = str(tmp_path / "first")
     jobs.publish(wh, first).collect()
-    built = Warehouse.from_built(spark, f"{first}/warehouse", wh.sources)
+    built = sinks.read_built(spark, f"{first}/warehouse", wh.sources)
     assert "FileScan" in built.table("mart_churn_risk")._jdf.queryExecution() \
         .executedPlan().toString()
     second = str(tmp_path / "second")
