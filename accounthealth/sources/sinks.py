@@ -14,7 +14,6 @@ from __future__ import annotations
 import hashlib
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,14 +28,27 @@ OBSERVED = "observed_checks"  # what the audit needs of a build's sources and mo
 
 # --- published builds
 
+def _file_system(spark: SparkSession, path: str):
+    """(the file system that holds ``path``, the path) on anything Spark reaches."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    files, where = _file_system(spark, path)
+    return files.exists(where)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    files, where = _file_system(spark, path)
+    files.delete(where, True)
+
+
 def published_builds(spark: SparkSession, root: str) -> DataFrame | None:
     """``version, build`` of the published builds under ``root``; None if there are none."""
-    try:
-        return spark.read.schema("version long, build string").parquet(f"{root}/{PUBLISHED}")
-    except AnalysisException as exc:
-        if "PATH_NOT_FOUND" in str(exc):
-            return None
-        raise
+    if not folder_exists(spark, f"{root}/{PUBLISHED}"):
+        return None
+    return spark.read.schema("version long, build string").parquet(f"{root}/{PUBLISHED}")
 
 
 def latest_build(spark: SparkSession, root: str) -> tuple[int, str] | None:
@@ -53,13 +65,6 @@ def _publish(spark: SparkSession, root: str, build: str) -> None:
         f"{root}/{PUBLISHED}")
 
 
-def remove_folder(spark: SparkSession, path: str) -> None:
-    """Removes a folder on any file system Spark reaches."""
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-
-
 def remove_old_builds(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
     """Removes all published builds but the latest ``keep`` (at least one); returns their names.
     Call it when no reader of an old build is left."""
@@ -152,12 +157,9 @@ def read_built(spark: SparkSession, root: str, sources=None) -> Warehouse:
     wh = Warehouse(spark, sources or {})
     for name in MODEL_NAMES:
         wh.bind(name, spark.read.parquet(f"{found[1]}/{name}"))
-    try:
+    if folder_exists(spark, f"{found[1]}/{OBSERVED}"):  # a build of some models has none
         wh.observed = {r.name: r.observed
                        for r in spark.read.parquet(f"{found[1]}/{OBSERVED}").collect()}
-    except AnalysisException as exc:  # a build of some models observes nothing
-        if "PATH_NOT_FOUND" not in str(exc):
-            raise
     return wh
 
 
