@@ -71,7 +71,7 @@ COVERAGE_SOURCES = [
 def segment_median(queue_base: DataFrame, value: str = "avg_daily_features",
                    name: str = "segment_median_features") -> DataFrame:
     """Exact (interpolated) median of ``value`` per segment, found by
-    narrowing value-range buckets (``functions.median``): no task ever holds
+    narrowing digit by digit (``functions.median``): no task ever holds
     a whole segment, however large one segment grows."""
     return grouped_median(queue_base, "segment", value, name)
 
