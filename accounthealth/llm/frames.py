@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,8 +35,35 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+_COLLECTED: list[list[str]] = []  # folders made inside the open ``scratch`` blocks
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if _COLLECTED:
+        _COLLECTED[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Folders made inside are removed at the end: read nothing of them afterwards. A frame that
+    should outlive the block is written by ``kept``."""
+    _COLLECTED.append([])
+    try:
+        yield
+    finally:
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for path in _COLLECTED.pop():
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(conf).delete(where, True)
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """``staged``, but the folder stays when the innermost ``scratch`` block ends."""
+    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

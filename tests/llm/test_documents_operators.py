@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
-from accounthealth.llm import exact_dedup, mixing, ngram_join, sharding, substring_fm
+from accounthealth.llm import exact_dedup, frames, mixing, ngram_join, sharding, substring_fm
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -240,7 +240,7 @@ def test_pipeline_stages_of_null_and_repeated_ids(docs_of, llm):
     import corpus_pipeline
 
     rows, stages = null_and_repeated_ids(), dict(corpus_pipeline.STAGES)
-    docs = corpus_pipeline.staged(stages["exact_dedup"](llm, docs_of(rows), ""), "exact")
+    docs = frames.staged(stages["exact_dedup"](llm, docs_of(rows), ""), "exact")
     kept = [(r.doc_id, r.text, r.source) for r in docs.collect()]
     assert Counter(t or "" for _, t, _ in kept) == Counter({t or "" for _, t, _ in rows})
     got = [(r.doc_id, r.text, r.source) for r in stages["ngram_join"](llm, docs, "").collect()]

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from accounthealth.llm import multi_index, packing, sentencepieces, toxicity, warc
+from accounthealth.llm import frames, multi_index, packing, sentencepieces, toxicity, warc
 from accounthealth.llm.textbytes import chunks, word_values
 from tests.conftest import SF001, SF0001
 
@@ -519,7 +519,7 @@ def test_pipeline_runs_every_stage(llm):
     docs = llm.read.parquet(f"{SF0001}/documents.parquet")
     for name, stage in corpus_pipeline.STAGES:
         before = docs
-        docs = corpus_pipeline.staged(stage(llm, before, SF0001), name)
+        docs = frames.staged(stage(llm, before, SF0001), name)
         if name != "sentencepiece":
             assert docs.columns == before.columns
         texts = before.count(), docs.count()
