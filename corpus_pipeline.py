@@ -3,6 +3,13 @@
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame, which is
 written as Parquet in the shared folder and read back as the next one's input.
 All but the last return the columns of ``documents``.
+
+Defined results: null and empty texts score 0, are one text of which the exact
+dedup keeps one row, have no shingles, no words and no pieces. Rows without an
+identifier are kept like others; of equal texts one without an identifier stays
+only if all are. Rows that repeat an identifier and a text are one after the exact
+dedup. A source's rows come once for each pass of the mix. Columns besides those
+of ``documents`` pass through all stages but the last. An empty table gives none.
 """
 
 from __future__ import annotations
@@ -10,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from accounthealth.llm import exact_dedup, mixing, ngram_join, sentencepieces, toxicity
-from accounthealth.llm.frames import staged
+from accounthealth.llm.frames import kept, scratch
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,13 +56,14 @@ STAGES = [
     ("sentencepiece", encode_pieces),
 ]
 
-# The network and the n-best search have no SQL form: tests/llm holds the
-# stages against brute force instead.
+# The network and the n-best search have no SQL form: tests/llm holds every
+# stage, and the whole run, against brute force instead.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with scratch(spark):  # what the stage has written on its way is removed
+            docs = kept(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return docs
