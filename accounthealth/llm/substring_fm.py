@@ -8,14 +8,15 @@ word sequence also starts anywhere else goes, judged on the input texts.
    one minimiser form a piece, so each window lies in exactly one piece and
    equal windows meet in the same shard. Pieces whose minimiser occurs once in
    the corpus cannot hold a repeat and are dropped before any word is moved.
-2. Contents. Equal pieces are counted by a 128-bit value of their words; if
-   there are two, every window of them is repeated. A content's words are read
-   from one of its documents and sent to its shard once, however hot it is.
-3. Index. A shard's contents, separated, are sorted by their suffixes (to more
-   words than a window has), and the Burrows-Wheeler string is kept as a wavelet
-   tree of bit vectors with counts a block. The single contents are streamed
-   against it: backward search extends a window to the left while it occurs
-   twice; where it stops, all windows that hold the stopped run are skipped.
+2. Contents. Equal pieces are one content with a number of copies, found by a
+   128-bit value of their words. A content's words are read from one of its
+   documents and sent to its shard once, however hot it is.
+3. Index. A shard's contents, those with copies twice, separated, are sorted by
+   their suffixes (to more words than a window has), and the Burrows-Wheeler
+   string is kept as a wavelet tree of bit vectors with counts a block. All
+   contents are streamed against it: backward search extends a window to the
+   left while it occurs twice; where it stops, all windows that hold the stopped
+   run are skipped.
    As a piece is shorter than two windows, its repeats are one interval, from
    the first to the last repeated window.
 4. A minimiser whose contents alone exceed a shard (a common run of words in
@@ -26,7 +27,9 @@ word sequence also starts anywhere else goes, judged on the input texts.
 Words are compared by 64-bit values, rows are told apart by a 64-bit value of
 identifier and text, so repeated identifiers are separate documents.
 
-Defined results: a null or blank text has no words; its kept text is empty.
+Defined results: a null or blank text has no words; its kept text is empty. Rows
+without an identifier are documents like others; rows that repeat an identifier and
+a text are copies of each other. An empty table has no rows.
 """
 
 from __future__ import annotations
@@ -178,15 +181,15 @@ class FMIndex:
         return base + ranks[:len(lo)], base + ranks[len(lo):]
 
 
-def repeated_spans(text: np.ndarray, begin: np.ndarray, windows: np.ndarray, ask: np.ndarray,
+def repeated_spans(text: np.ndarray, begin: np.ndarray, windows: np.ndarray,
                    length: int) -> tuple[np.ndarray, np.ndarray]:
     """First and last repeated window of the asked contents (-1: none).
 
-    text: all contents with separators; begin: where each starts.
+    text: all indexed contents with separators; begin: where the asked ones start.
     """
     first = np.full(len(begin), -1)
     last = np.full(len(begin), -1)
-    lanes = np.flatnonzero(ask)
+    lanes = np.arange(len(begin))
     if not len(lanes):
         return first, last
     index = FMIndex(text, length)
@@ -239,9 +242,11 @@ def repeated_intervals(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     contents = staged(held.groupBy("mini", "d1", "d2", "windows").agg(
         F.count(F.lit(1)).alias("copies"),
         F.min(F.struct("rid", "start")).alias("at")), "contents")
-    volume = contents.agg(F.sum(F.col("windows") + length)).first()[0] or 0
+    # words that a content takes in an index, copied contents twice
+    words = (F.col("windows") + length) * F.least(F.col("copies"), F.lit(2))
+    volume = contents.agg(F.sum(words)).first()[0] or 0
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), volume // SHARD_WORDS + 1)
-    crowded = staged(contents.groupBy("mini").agg(F.sum(F.col("windows") + length).alias("volume"))
+    crowded = staged(contents.groupBy("mini").agg(F.sum(words).alias("volume"))
                      .filter(F.col("volume") > SHARD_WORDS).select("mini"), "crowded")
 
     def with_wanted(some: DataFrame) -> DataFrame:
@@ -273,14 +278,14 @@ def repeated_intervals(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     def search(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.drop_duplicates(["mini", "d1", "d2"])  # a rid may come twice
         rows = [np.frombuffer(w, np.uint64) for w in frame["words"]]
+        rows += [rows[k] for k in np.flatnonzero(frame["copies"].to_numpy() > 1)]
         count = np.array([len(r) for r in rows])
         begin = np.r_[0, np.cumsum(count + 1)[:-1]]
         _, dense = np.unique(np.concatenate(rows), return_inverse=True)
         text = np.zeros(int(count.sum()) + len(rows), np.int64)
         text[np.arange(len(dense)) + np.repeat(np.arange(len(rows)), count)] = dense + 1
-        windows, single = frame["windows"].to_numpy(), frame["copies"].to_numpy() == 1
-        first, last = repeated_spans(text, begin, windows, single, length)
-        first, last = np.where(single, first, 0), np.where(single, last, windows - 1)
+        windows = frame["windows"].to_numpy()
+        first, last = repeated_spans(text, begin[:len(frame)], windows, length)
         out = frame[["mini", "d1", "d2"]].assign(lo=first, hi=last + length)
         return out[first >= 0].astype({"lo": "int32", "hi": "int32"})
 
