@@ -358,3 +358,24 @@ def test_placement(docs_of, tmp_path):
     back = docs.sparkSession.read.parquet(f"{tmp_path}/shards")
     assert back.count() == len(rows) and set(docs.columns) < set(back.columns)
     assert sharding.place(docs_of([])).count() == 0
+
+
+def test_rows_without_identifier_are_mixed_and_placed(docs_of):
+    """Null identifiers are rows like others: counted, taken, and in one shard."""
+    rows = awkward(16) + [(None, "a b c", "src0"), (None, "a b c", "src0"), (None, "d " * 40, "src1"),
+                          (None, None, None), (None, "", "src1")]
+    docs = docs_of(rows)
+    got = mixing.mix(docs).collect()
+    assert len(got) == len(rows)
+    assert Counter((r.id, r.size) for r in got) == Counter((i, len(words(t))) for i, t, _ in rows)
+    size, taken, target = Counter(), Counter(), {}
+    for r in got:
+        taken[r.source_size, r.target] += r.taken
+        target[r.source_size, r.target] = int(r.target + 1e-9)
+    for _, t, s in rows:
+        size[s] += len(words(t))
+    if len(set(size.values())) == len(size):  # sources told apart by their sizes
+        assert taken == Counter(target)
+    placed = sharding.place(docs).collect()
+    assert Counter(r.key for r in placed) == Counter(i for i, _, _ in rows)
+    assert len({(r.slot, r.shard) for r in placed if r.key is None}) == 1
