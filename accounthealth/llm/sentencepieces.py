@@ -7,7 +7,8 @@ character without a piece one edge that falls back to its bytes.
 
 No piece holds a non-space before a space, so the lattice falls apart into
 segments (spaces, then what follows them) and the forward Viterbi pass runs
-once for each distinct segment of a chunk, many segments at a time. It gives
+once for each distinct segment, many segments at a time (a task remembers those it
+has met, within a bound). It gives
 the best path and, with the backward pass, the loss of the second best. The
 N best paths of a text differ from the best in the N - 1 segments of least loss
 only; there the backward A-star search runs, whose heuristic, the forward
@@ -69,6 +70,9 @@ class Vocabulary:
         self.values = np.zeros(len(self.pieces), np.uint64)
         ids = np.fromiter(self.index.values(), np.int64)
         self.values[ids] = span_values(data, end - np.diff(np.r_[0, end]), end)
+        # Nearly all spans are no piece: a table of low bits tells most of them apart.
+        self.maybe = np.zeros(1 << SLOT_BITS, bool)
+        self.maybe[self._places(self.values[ids])[0]] = True
         # Three possible slots a piece; -1: free.
         self.slots = np.full(1 << SLOT_BITS, -1, np.int32)
         for i in ids:
@@ -86,10 +90,12 @@ class Vocabulary:
     def find(self, values: np.ndarray) -> np.ndarray:
         """Piece id of each span value, -1 if none."""
         out = np.full(values.shape, -1, np.int32)
+        some = np.flatnonzero(self.maybe[values & np.uint64((1 << SLOT_BITS) - 1)])
+        values = values[some]
         for place in self._places(values):
             at = self.slots[place]
             hit = (at >= 0) & (self.values[at] == values)
-            out[hit] = at[hit]
+            out[some[hit]] = at[hit]
         return out
 
     @property
@@ -257,10 +263,12 @@ def _best_together(v: Vocabulary, rows: np.ndarray):
     the pieces as a table of the id that starts at each byte (-1: none)."""
     count, n = rows.shape
     power, inverse = _powers(1 << 16)
-    total = np.zeros((count, n + 1), np.uint64)
-    np.cumsum(BYTE_VALUES[rows] * power[:n], axis=1, out=total[:, 1:])
-    lead = (rows & 0xC0) != 0x80
-    chars = np.select([rows < 0x80, rows < 0xE0, rows < 0xF0], [1, 2, 3], 4)
+    columns = np.ascontiguousarray(rows.T)
+    total = np.zeros((n + 1, count), np.uint64)
+    np.cumsum(BYTE_VALUES[columns] * power[:n, None], axis=0, out=total[1:])
+    # length of the character that begins at a byte, 0 inside one
+    chars = np.select([columns < 0x80, columns < 0xC0, columns < 0xE0, columns < 0xF0],
+                      [1, 0, 2, 3], 4).astype(np.int8)
     best = np.full((n + 1, count), -np.inf)
     best[0] = 0
     step = np.zeros((n + 1, count), np.int64)
@@ -268,10 +276,11 @@ def _best_together(v: Vocabulary, rows: np.ndarray):
     edges = []
     for j in range(1, n + 1):
         for i in range(max(0, j - max(v.longest, 4)), j):  # longest first
-            value = mixed((total[:, j] - total[:, i]) * inverse[i] + np.uint64((j - i) * int(_STEP) % (1 << 64)))
-            ids = v.find(value)
-            fall = (ids < 0) & lead[:, i] & (chars[:, i] == j - i)
-            at = np.flatnonzero((ids >= 0) | fall)
+            value = total[j] - total[i]
+            value *= inverse[i]
+            value += np.uint64((j - i) * int(_STEP) % (1 << 64))
+            ids = v.find(mixed(value))
+            at = np.flatnonzero((ids >= 0) | (chars[i] == j - i) if j - i <= 4 else ids >= 0)
             if not len(at):
                 continue
             ids = ids[at]
@@ -315,11 +324,75 @@ def _ragged(flat: np.ndarray, begin: np.ndarray, count: np.ndarray) -> np.ndarra
     return flat[np.repeat(begin, count) + at]
 
 
-def encode_chunk(v: Vocabulary, chunk, n: int):
+class Known:
+    """Best paths of the segments a task has met, by their 64-bit value. A segment's result is
+    the same whenever it is found, so forgetting all of them only costs time."""
+
+    MOST, MOST_IDS = 600_000, 6_000_000
+
+    def __init__(self):
+        self.forget()
+
+    def forget(self) -> None:
+        self.values, self.flat = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        self.score, self.loss = np.zeros(0), np.zeros(0)
+        self.begin, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.paths: dict[int, list] = {}  # n best of some segments
+        self.ids_held = 0  # ids in these paths
+
+    def room(self) -> None:
+        if len(self.values) > self.MOST or len(self.flat) + self.ids_held > self.MOST_IDS:
+            self.forget()
+
+    def find(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place, whether it is there) of each value."""
+        at = np.searchsorted(self.values, values)
+        if not len(self.values):
+            return at, np.zeros(len(values), bool)
+        at[at == len(self.values)] = 0
+        return at, self.values[at] == values
+
+    def add(self, values, score, loss, begin, count, ids) -> None:
+        """New segments, ``values`` sorted; ``begin`` counts from the ids added last."""
+        at = np.searchsorted(self.values, values)
+        for name, new in (("score", score), ("loss", loss), ("count", count),
+                          ("begin", begin + len(self.flat)), ("values", values)):
+            setattr(self, name, np.insert(getattr(self, name), at, new))
+        self.flat = np.concatenate([self.flat, *ids])
+
+
+def _learn(v: Vocabulary, known: Known, values, data, start, lens) -> None:
+    """Finds the best paths of new segments, many of one length at a time."""
+    score, loss = np.empty(len(values)), np.empty(len(values))
+    ids_of, begin, count = [], np.zeros(len(values), np.int64), np.zeros(len(values), np.int64)
+    used, order = 0, np.argsort(lens, kind="stable")
+    for group in np.split(order, np.flatnonzero(np.diff(lens[order])) + 1) if len(order) else ():
+        length = int(lens[group[0]])
+        if len(group) <= FEW or length > 200:
+            for g in group:
+                score[g], loss[g], ids = _best_alone(v, data[start[g]:][:length].tobytes())
+                ids_of.append(np.array(ids, np.int32))
+                begin[g], count[g] = used, len(ids)
+                used += len(ids)
+            continue
+        for part in np.split(group, range(20_000, len(group), 20_000)):
+            rows = data[start[part][:, None] + np.arange(length)]
+            score[part], loss[part], table = _best_together(v, rows)
+            has = table >= 0
+            count[part] = has.sum(axis=1)
+            begin[part] = used + np.cumsum(count[part]) - count[part]
+            ids_of.append(table[has])
+            used += int(count[part].sum())
+    known.add(values, score, loss, begin, count, ids_of)
+
+
+def encode_chunk(v: Vocabulary, chunk, n: int, known: Known | None = None):
     """(ids, offsets, n best (score, number of pieces, changes)) of a chunk's texts.
 
     changes: (segment's first piece, its pieces, its other pieces) against the best.
     """
+    known = known or Known()
+    known.room()
     size = np.diff(chunk.edges)
     some = size > 0
     edges = chunk.edges + np.r_[0, np.cumsum(some)]  # with a space before each text
@@ -334,34 +407,17 @@ def encode_chunk(v: Vocabulary, chunk, n: int):
     begins[edges[:-1][some]] = True
     start = np.flatnonzero(begins)
     end = np.r_[start[1:], len(data)]
-    _, where, which = np.unique(span_values(data, start, end), return_index=True, return_inverse=True)
-    lens = (end - start)[where]
-    score, loss = np.empty(len(where)), np.empty(len(where))
-    ids_of, begin, count = [], np.zeros(len(where), np.int64), np.zeros(len(where), np.int64)
-    used = 0
-    order = np.argsort(lens, kind="stable")
-    for group in np.split(order, np.flatnonzero(np.diff(lens[order])) + 1):
-        length = int(lens[group[0]])
-        if len(group) <= FEW or length > 200:
-            for g in group:
-                score[g], loss[g], ids = _best_alone(v, data[start[where[g]]:][:length].tobytes())
-                ids_of.append(np.array(ids, np.int32))
-                begin[g], count[g] = used, len(ids)
-                used += len(ids)
-            continue
-        for part in np.split(group, range(20_000, len(group), 20_000)):
-            rows = data[start[where[part]][:, None] + np.arange(length)]
-            score[part], loss[part], table = _best_together(v, rows)
-            has = table >= 0
-            count[part] = has.sum(axis=1)
-            begin[part] = used + np.cumsum(count[part]) - count[part]
-            ids_of.append(table[has])
-            used += int(count[part].sum())
-    flat_ids = np.concatenate(ids_of)
+    values, where, which = np.unique(span_values(data, start, end), return_index=True,
+                                     return_inverse=True)
+    _, there = known.find(values)
+    _learn(v, known, values[~there], data, start[where[~there]], (end - start)[where[~there]])
+    at, _ = known.find(values)
+    lens, flat_ids = (end - start)[where], known.flat
+    score, loss, begin, count = (x[at] for x in (known.score, known.loss, known.begin, known.count))
     ids = _ragged(flat_ids, begin[which], count[which])
     total = np.r_[0, np.cumsum(count[which])]
     first = np.searchsorted(start, edges)
-    kept, nbest = {}, []
+    nbest = []
     for k in range(chunk.rows):
         a, b = first[k], first[k + 1]
         base = float(score[which[a:b]].sum())
@@ -374,17 +430,20 @@ def encode_chunk(v: Vocabulary, chunk, n: int):
             near = np.flatnonzero(own <= limit)
             for s in near[np.argsort(own[near], kind="stable")][:n - 1]:
                 g = int(which[a + s])
-                if g not in kept:  # the best one as found above, then those that differ
+                name = int(values[g])
+                if name not in known.paths:  # the best one as found, then those that differ
                     own_ids = flat_ids[begin[g]:begin[g] + count[g]].tolist()
                     paths = n_best(v, data[start[where[g]]:][:lens[g]].tobytes(), n)
-                    kept[g] = [(paths[0][0], own_ids),
-                               *[p for p in paths if p[1] != own_ids][:n - 1]]
-                base_loss = kept[g][0][0]
+                    known.paths[name] = [(paths[0][0], own_ids),
+                                         *[p for p in paths if p[1] != own_ids][:n - 1]]
+                    known.ids_held += n * len(own_ids)
+                base_loss = known.paths[name][0][0]
                 spot = (int(total[a + s] - total[a]), int(count[g]))
                 found = sorted(
                     ((lost + base_loss - alt, more + (len(p) - spot[1] if r else 0),
                       change + [(*spot, p)] if r else change)
-                     for lost, more, change in found for r, (alt, p) in enumerate(kept[g])),
+                     for lost, more, change in found
+                     for r, (alt, p) in enumerate(known.paths[name])),
                     key=lambda x: x[0])[:n]
         pieces = int(total[b] - total[a])
         nbest.append([(base - lost, pieces + more, change) for lost, more, change in found])
@@ -414,7 +473,7 @@ def encoded(df: DataFrame, text_col: str = "text", model_file: str = MODEL, n: i
     shared = df.sparkSession.sparkContext.broadcast(load(model_file).parts)  # a vocabulary
 
     def run(batches):
-        v = Vocabulary(*shared.value)
+        v, known = Vocabulary(*shared.value), Known()
         sizes = np.array([len(p) for p in v.pieces])
         flat = np.frombuffer(b"".join(v.pieces), np.uint8)
         begin = np.cumsum(sizes) - sizes
@@ -422,7 +481,7 @@ def encoded(df: DataFrame, text_col: str = "text", model_file: str = MODEL, n: i
                          + [("ids", pa.list_(pa.int32()))] * full)
         for batch in batches:
             for c in chunks(batch.column(0).field(text_col)):
-                ids, edges, nbest = encode_chunk(v, c, n)
+                ids, edges, nbest = encode_chunk(v, c, n, known)
                 ids = ids.astype(np.int32)
                 text = _ragged(flat, begin[ids], sizes[ids])  # decoding, all texts at once
                 at = np.r_[0, np.cumsum(sizes[ids])][edges]

@@ -259,6 +259,20 @@ def test_changes_differ_from_the_best(vocabulary):
         assert all(sentencepieces.decode_ids(vocabulary, x) == text for x in every)
 
 
+def test_what_a_task_remembers_changes_nothing(vocabulary, monkeypatch):
+    """The same result for every chunk, with nothing, all or little remembered."""
+    rng = random.Random(3)
+    some = ["the", "straße", "zz9", "  x", "\n", "aaaa", "q" * 300, "日本", "", "antidisestablishment"]
+    texts = pa.array([" ".join(rng.choice(some) for _ in range(rng.randrange(0, 60))) for _ in range(40)])
+    def encode(known):
+        return [sentencepieces.encode_chunk(vocabulary, c, 3, known) for c in chunks(texts, 300)]
+    alone, together = encode(None), encode(sentencepieces.Known())
+    monkeypatch.setattr(sentencepieces.Known, "MOST", 4)
+    for other in (together, encode(sentencepieces.Known())):
+        for a, b in zip(alone, other, strict=True):
+            assert a[0].tolist() == b[0].tolist() and a[1].tolist() == b[1].tolist() and a[2] == b[2]
+
+
 def test_round_trip(docs_of, vocabulary):
     texts = [None, "", " ", "  a▁b ", "\n\n", "café \U0001f600\u0000 x", "word " * 3000,
              "y" * 30_000, "▁", "<0x41></s>", " lead", "trail "]
