@@ -40,6 +40,8 @@ LEAST_BYTES = 0  # payloads below are never revisits
 SAMPLE_RECORDS, SAMPLE_BYTES = 400, 4 << 20  # records the dictionary is built from
 DICTIONARY_BYTES = 32 << 10
 ARCHIVE_BYTES = 256 << 20  # raw bytes after which a new archive begins
+ROWS_AT_ONCE = 64  # rows of a batch that are Python objects at a time
+READ_BYTES = 4 << 20  # raw bytes after which a batch of records read goes back to Spark
 LEVEL = 3
 DATE = "2024-01-01T00:00:00Z"  # one date for all records, so that reruns agree
 # Fixed by the format: the skippable frame that holds a dictionary, and the
@@ -156,6 +158,13 @@ def decisions(pages: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
         F.when(revisit, F.col("head")).alias("refers_to"))
 
 
+def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """The rows of Arrow batches; only a few of them are Python objects at a time."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, ROWS_AT_ONCE):
+            yield from batch.slice(k, ROWS_AT_ONCE).to_pylist()
+
+
 def write_archives(pages: DataFrame, folder: str) -> DataFrame:
     """Writes ``page_id, url, html`` rows into archives under ``folder``;
     returns ``file, records, bytes`` of those written."""
@@ -169,11 +178,10 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
 
     def write(batches):
         def records():
-            for batch in batches:
-                for r in batch.to_pylist():
-                    payload = None if r["refers_to"] is not None else (r["html"] or "").encode()
-                    yield record(r["page_id"], r["url"], payload, r["digest"], r["size"],
-                                 r["refers_to"])
+            for r in rows_of(batches):
+                payload = None if r["refers_to"] is not None else (r["html"] or "").encode()
+                yield record(r["page_id"], r["url"], payload, r["digest"], r["size"],
+                             r["refers_to"])
 
         fs, path = pafs.FileSystem.from_uri(folder)
         fs.create_dir(path, recursive=True)
@@ -197,12 +205,16 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
 
     # The join has dealt the rows by identifier and digest, or left them where they were read.
     sorted_rows = rows.sortWithinPartitions("page_id", "digest", "url")
-    return sorted_rows.mapInArrow(write, "file string, records long, bytes long")
+    made = sorted_rows.mapInArrow(write, "file string, records long, bytes long")
+    # One row an archive: gathered, so that the tasks that hold payloads need not each store a
+    # file for it (Hadoop starts two processes for a local one).
+    return made.repartition("file")
 
 
 def read_archives(files: DataFrame, folder: str) -> DataFrame:
     """``page_id, url, payload, payload_bytes, payload_digest, record_type, refers_to``
-    of every record. Digest and length of a response are taken from its payload."""
+    of every record. Digest and length of a response are taken from its payload.
+    ``files`` are counted first, so they should be stored."""
     def read(batches):
         fs, path = pafs.FileSystem.from_uri(folder)
 
@@ -233,13 +245,15 @@ def read_archives(files: DataFrame, folder: str) -> DataFrame:
                             "payload_digest": digest, "record_type": head["WARC-Type"],
                             "refers_to": head_page and int(head_page)})
                         size += len(data)
-                        if size > 16 << 20:
+                        if size >= READ_BYTES:
                             yield pack(rows)
                             rows, size = [], 0
                 if rows:
                     yield pack(rows)
 
-    return files.select("file").repartition("file").mapInArrow(
+    # A number of its own: the names are so short that Spark would gather all in one task.
+    most = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return files.select("file").repartition(max(1, min(most, files.count()))).mapInArrow(
         read, "page_id long, url string, payload binary, payload_bytes long, "
         "payload_digest string, record_type string, refers_to long")
 

@@ -11,7 +11,9 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pafs
 import pytest
+from pyspark.sql import functions as F
 
 from accounthealth.llm import frames, multi_index, packing, sentencepieces, toxicity, warc
 from accounthealth.llm.textbytes import chunks, word_values
@@ -425,6 +427,41 @@ def test_pages_of_null_and_repeated_identifiers(llm):
     assert got == want
 
 
+def test_archives_are_read_in_several_tasks(llm):
+    """However short the list of archives is, no task reads all of them."""
+    folder = warc.new_folder(llm, "warc-test")
+    fs, path = pafs.FileSystem.from_uri(folder)
+    fs.create_dir(path, recursive=True)
+    html = [f"<p>{k}</p>".encode() * (k % 7) for k in range(60)]
+    digest = [base64.b32encode(hashlib.sha1(h).digest()).decode() for h in html]
+    for nth in range(6):
+        records = [warc.record(k, None, html[k], digest[k], len(html[k]), None)
+                   for k in range(nth, 60, 6)]
+        with fs.open_output_stream(f"{path}/part-{nth}.warc.zst", compression=None) as out:
+            assert warc.archive(records[:4], iter(records[4:]), out)[0] == 10
+    files = warc.staged(llm.createDataFrame([(f"part-{k}.warc.zst",) for k in range(6)],
+                                            "file string"), "warc-files")
+    read = warc.read_archives(files, folder).withColumn("task", F.spark_partition_id()).collect()
+    assert {r.page_id: bytes(r.payload) for r in read} == dict(enumerate(html))
+    assert len(read) == 60 and len({r.task for r in read}) > 1
+
+
+def test_rows_of_a_batch_are_made_a_few_at_a_time():
+    batch = pa.RecordBatch.from_pylist([{"k": k, "t": "x" * k} for k in range(200)])
+    made = []
+
+    class Counted:
+        num_rows = batch.num_rows
+
+        def slice(self, start, rows):
+            made.append(rows)
+            return batch.slice(start, rows)
+
+    assert list(warc.rows_of(iter([Counted(), batch.slice(0, 0), batch.slice(7, 1)]))) == [
+        *batch.to_pylist(), {"k": 7, "t": "x" * 7}]
+    assert max(made) <= warc.ROWS_AT_ONCE < 200
+
+
 # ---- neighbours
 
 def test_walk_is_in_order_of_summed_score():
